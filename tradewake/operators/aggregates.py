@@ -1,0 +1,18 @@
+"""Daily aggregates (placeholder for the subject modules)."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tradewake.functions import exprs as X
+
+
+def terminals(facts: list[DataFrame]) -> DataFrame:
+    """Terminals seen in any of the facts, with name and device type."""
+    seen = reduce(DataFrame.unionByName, [f.select("terminal") for f in facts]).distinct()
+    name = F.when(F.col("terminal") == "PC", "电脑端").when(F.col("terminal") == "Wireless", "无线端").when(
+        F.col("terminal") == "App", "应用端").otherwise(F.col("terminal"))
+    return seen.select("terminal", name.alias("terminal_name"), X.device_type("terminal").alias("device_type"))

@@ -95,15 +95,14 @@ def typed(df: DataFrame, texts: dict[str, str], times: dict[str, str], key: str
 
 
 def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Newest row per key.
+    """Newest row per key; ties in ``order`` fall to the other columns, so the result is fixed.
 
-    ``max_by`` aggregates before the shuffle, so one hot key costs one row per
-    task; it also runs on streams in update mode. Put enough columns in
-    ``order`` to leave no ties.
+    The maximum aggregates before the shuffle: a hot key costs one row per
+    task. It also runs on streams in update mode.
     """
-    rest = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("_best")
-    return df.groupBy(*keys).agg(best).select(*keys, "_best.*")
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    best = F.max(F.struct(*order, *rest)).alias("_best")
+    return df.groupBy(*keys).agg(best).select(*[c if c in keys else f"_best.{c}" for c in df.columns])
 
 
 # ---- dimension routing ---------------------------------------------------
@@ -146,7 +145,7 @@ def dim_state(writes: DataFrame, apply_deletes: bool = True) -> DataFrame:
     """Newest cells per sink table and row key. Cells become an entry list so they can be compared."""
     rows = writes if apply_deletes else writes.where(F.col("op") != "d")
     flat = rows.withColumn("cells", F.sort_array(F.map_entries("cells")))
-    newest = latest(flat, ["sink_table", "row_key"], ["ts_ms", "op", "cells"])
+    newest = latest(flat, ["sink_table", "row_key"], ["ts_ms", "op"])
     out = newest.withColumn("cells", F.map_from_entries("cells"))
     return out.where(F.col("op") != "d") if apply_deletes else out
 
