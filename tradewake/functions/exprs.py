@@ -101,7 +101,7 @@ def zero(c: Column | str) -> Column:
     return F.coalesce(col(c), F.lit(0))
 
 
-def capped(score: Column, limit: float = 100.0) -> Column:
+def capped(score: Column, limit: int = 100) -> Column:
     return F.least(score, F.lit(limit))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-SUBJECTS = ["logs", "trade", "shop", "items", "products"]
+SUBJECTS = ["logs", "trade", "shop", "items", "products", "diagnosis", "journeys"]
 
 
 def load_all() -> None:

@@ -7,12 +7,14 @@ onto 2024-01-01 .. 2024-02-29 so that trade and behaviour share a calendar.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewake.functions import exprs as X
+from tradewake.session import fresh_path
 
 AS_OF = "2024-01-31"
 FIRST_DAY = "2024-01-01"
@@ -41,6 +43,7 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._stored: dict[str, DataFrame] = {}
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def path(self, name: str) -> str:
@@ -49,6 +52,14 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A layer table written once to the shared folder; later steps read it instead of recomputing it."""
+        if name not in self._stored:
+            path = fresh_path(self.spark, name)
+            build().write.parquet(path)
+            self._stored[name] = self.spark.read.parquet(path)
+        return self._stored[name]
+
     def stream(self, name: str, files_per_trigger: int = 1) -> DataFrame:
         """The same table as a file stream."""
         return (
