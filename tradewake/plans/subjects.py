@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-SUBJECTS = ["logs", "trade", "shop", "items", "products", "diagnosis", "journeys"]
+SUBJECTS = ["logs", "trade", "shop", "items", "products", "diagnosis", "journeys", "storage", "streams", "scalars"]
 
 
 def load_all() -> None:

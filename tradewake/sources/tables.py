@@ -37,6 +37,9 @@ def pick(values: list[str], position) -> F.Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (position + 1).cast("int"))
 
 
+_READS: dict[tuple[str, str], DataFrame] = {}
+
+
 class Tables:
     """The test tables of one scale-factor folder and the views built on them."""
 
@@ -50,7 +53,11 @@ class Tables:
         return f"{self.folder}/{name}.parquet"
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """The table; its schema is looked up once per application."""
+        key = (self.spark.sparkContext.applicationId, self.path(name))
+        if key not in _READS:
+            _READS[key] = self.spark.read.parquet(self.path(name))
+        return _READS[key]
 
     def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A layer table written once to the shared folder; later steps read it instead of recomputing it."""

@@ -1,16 +1,111 @@
-"""Writers: tables, partitioned files, upserts, JSON and JDBC sinks."""
+"""Writers: tables, partitioned files, upserts, JSON, topics and database sinks."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
 
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tradewake.functions import exprs as X
+from tradewake.operators.cdc import latest
 from tradewake.session import fresh_path
 
+ERROR_BUCKET = "error_bucket"
+
 
 def create_table_as(df: DataFrame, name: str) -> DataFrame:
     """CREATE TABLE AS: writes the rows once to the shared folder and reads them back as a view."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    out = df.sparkSession.read.parquet(path)
+    out = round_trip(df, fresh_path(df.sparkSession, name))
     out.createOrReplaceTempView(name)
     return out
+
+
+def round_trip(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> DataFrame:
+    df.write.format(fmt).partitionBy(*partition_by).save(path)
+    return df.sparkSession.read.format(fmt).load(path)
+
+
+def by_partition(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows of one partition value gathered, so that each value gets few files; large values are split evenly."""
+    return df.hint("rebalance", *[F.col(c) for c in columns])
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replaces only the partitions that occur in ``df``."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
+def retained(df: DataFrame, day: str, as_of: str, days: int = 180) -> DataFrame:
+    """Rows of the last ``days`` daily partitions; as a partition filter it prunes files."""
+    return df.where((F.col(day) > F.date_sub(F.lit(as_of).cast("date"), days)) & (F.col(day) <= F.lit(as_of).cast("date")))
+
+
+def expired_partitions(df: DataFrame, day: str, as_of: str, days: int = 180) -> DataFrame:
+    """Partition values a retention job would drop."""
+    return df.where(F.col(day) <= F.date_sub(F.lit(as_of).cast("date"), days)).select(day).distinct()
+
+
+def as_json(df: DataFrame, text: str = "value") -> DataFrame:
+    return df.select(F.to_json(F.struct("*")).alias(text))
+
+
+def to_topics(df: DataFrame, topic: Column) -> DataFrame:
+    """Rows as JSON with the topic each goes to: the frame a Kafka writer takes."""
+    return df.select(topic.alias("topic"), F.to_json(F.struct("*")).alias("value"))
+
+
+def write_topics(df: DataFrame, servers: str) -> None:
+    """Batch write to Kafka; needs the connector."""
+    df.write.format("kafka").option("kafka.bootstrap.servers", servers).option("kafka.acks", "all").option(
+        "kafka.enable.idempotence", "true").save()
+
+
+def day_bucket(epoch: Column | str) -> Column:
+    """``day=yyyyMMdd`` of an epoch in seconds or milliseconds; unreadable values share one bucket."""
+    day = F.date_format(X.from_epoch_any(epoch), "yyyyMMdd")
+    return F.coalesce(F.concat(F.lit("day="), day), F.lit(ERROR_BUCKET))
+
+
+def merge_latest(stored: DataFrame | None, batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Keyed table after a batch of writes: newest row per key. Replaying a batch changes nothing."""
+    rows = batch if stored is None else stored.unionByName(batch)
+    return latest(rows, keys, order)
+
+
+def jdbc_rows(df: DataFrame, columns: Sequence[str], skip: Sequence[str] = ()) -> DataFrame:
+    """Columns in target order without the skipped ones, as positional binding expects."""
+    return df.select(*[c for c in columns if c not in skip])
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, columns: Sequence[str], skip: Sequence[str] = (), batch: int = 5000,
+               properties: dict[str, str] | None = None) -> None:
+    jdbc_rows(df, columns, skip).write.mode("append").jdbc(url, table, properties={"batchsize": str(batch), **(properties or {})})
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+class KeyedTable:
+    """Newest row per key, kept as versions of one folder; safe to replay.
+
+    A batch writes version ``batch_id`` from the version before it, so a
+    repeated batch rewrites the same version from the same input.
+    """
+
+    def __init__(self, path: str, keys: list[str], order: list[str]):
+        self.path, self.keys, self.order = path, keys, order
+
+    def version(self, batch_id: int) -> str:
+        return f"{self.path}/v={batch_id}"
+
+    def upsert(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = self.version(batch_id - 1)
+        stored = spark.read.parquet(before) if exists(spark, f"{before}/_SUCCESS") else None
+        merge_latest(stored, batch, self.keys, self.order).write.mode("overwrite").parquet(self.version(batch_id))
+
+    def read(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        return spark.read.parquet(self.version(batch_id))
