@@ -1,11 +1,171 @@
-"""Keyed state."""
+"""Keyed state on streams: new-visitor repair, newest only, merge of partial rows, snapshot end.
+
+Each processor works through the rows of a key chunk by chunk, ordered by time
+inside a chunk, and keeps a few values per key. State expires by TTL, so the
+state store (RocksDB on a cluster) does not grow with history.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from datetime import timedelta
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+DAY_MS = 86_400_000
+SNAPSHOT_IDLE_MS = 15_000
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def configure(spark, run_to_end: bool = False) -> None:
+    """RocksDB state. Processing-time state asks for one more empty batch for ever, so a query that
+    is to end with its input (``availableNow``) must go without empty batches."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(not run_to_end).lower())
 
 
 def snapshot_only(changes: DataFrame) -> DataFrame:
     """Rows of the initial snapshot; changes after it leave."""
     return changes.where((F.col("op") == "r") | (F.col("source")["snapshot"] == "true"))
+
+
+class NewFlagRepair(StatefulProcessor):
+    """Clears ``is_new`` on days other than the remembered first day of the key."""
+
+    def __init__(self, flag: str, ts: str, ttl_ms: int):
+        self.flag, self.ts, self.ttl_ms = flag, ts, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.day = handle.getValueState("first_day", "day string", self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for pdf in rows:
+            pdf = pdf.sort_values(self.ts, kind="stable").reset_index(drop=True)
+            days = pdf[self.ts].dt.strftime("%Y-%m-%d")
+            if not self.day.exists():
+                first = pdf[self.ts].iloc[0]
+                remembered = first if pdf[self.flag].iloc[0] == "1" else first - timedelta(days=1)
+                self.day.update((remembered.strftime("%Y-%m-%d"),))
+            pdf.loc[(pdf[self.flag] == "1") & (days != self.day.get()[0]), self.flag] = "0"
+            yield pdf
+
+
+class NewerOnly(StatefulProcessor):
+    """Emits rows whose time is newer than anything the key has brought."""
+
+    def __init__(self, ts: str, ttl_ms: int):
+        self.ts, self.ttl_ms = ts, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "ts bigint", self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        best = self.seen.get()[0] if self.seen.exists() else None
+        for pdf in rows:
+            earlier = pdf[self.ts].cummax().shift(fill_value=-1)
+            fresh = pdf[self.ts] > earlier
+            if best is not None:
+                fresh &= pdf[self.ts] > best
+            top = int(pdf[self.ts].max())
+            best = top if best is None else max(best, top)
+            yield pdf[fresh]
+        if best is not None:
+            self.seen.update((best,))
+
+
+class MergeParts(StatefulProcessor):
+    """Completes every partial row with the last known value of each field."""
+
+    def __init__(self, fields: list[str], ts: str, ttl_ms: int):
+        self.fields, self.ts, self.ttl_ms = fields, ts, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        schema = ", ".join(f"{f} double" for f in self.fields)
+        self.known = handle.getValueState("known", schema, self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        known = list(self.known.get()) if self.known.exists() else [None] * len(self.fields)
+        for pdf in rows:
+            pdf = pdf.sort_values(self.ts, kind="stable").reset_index(drop=True)
+            filled = pdf[self.fields].ffill()
+            for i, f in enumerate(self.fields):
+                if known[i] is not None:
+                    filled[f] = filled[f].fillna(known[i])
+                tail = filled[f].iloc[-1]
+                known[i] = None if pd.isna(tail) else float(tail)
+            pdf[self.fields] = filled
+            yield pdf
+        self.known.update(tuple(known))
+
+
+class SnapshotGate(StatefulProcessor):
+    """Passes snapshot rows; the snapshot ends with the first change or after an idle time.
+
+    Emits one marker row (op ``end``) per key when its snapshot ends.
+    """
+
+    def __init__(self, idle_ms: int, columns: list[str]):
+        self.idle_ms, self.columns = idle_ms, columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.done = handle.getValueState("done", "done boolean")
+        self.timer = handle.getValueState("timer", "at bigint")
+
+    def _marker(self, key) -> pd.DataFrame:
+        return pd.DataFrame([{c: (key[0] if i == 0 else "end" if c == "op" else None) for i, c in enumerate(self.columns)}])
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        done, changed = self.done.exists(), False
+        for pdf in rows:
+            snapshot = pdf["op"].eq("r") | pdf["snapshot"].eq("true")
+            changed |= not bool(snapshot.all())
+            yield pdf.loc[snapshot, self.columns]
+        if self.timer.exists():
+            self.handle.deleteTimer(self.timer.get()[0])
+            self.timer.clear()
+        if done:
+            return
+        if changed:
+            self.done.update((True,))
+            yield self._marker(key)
+        else:
+            at = timerValues.getCurrentProcessingTimeInMs() + self.idle_ms
+            self.handle.registerTimer(at)
+            self.timer.update((at,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.done.exists():
+            return
+        self.done.update((True,))
+        self.timer.clear()
+        yield self._marker(key)
+
+
+def _transform(df: DataFrame, key: str, processor: StatefulProcessor, schema: T.StructType) -> DataFrame:
+    return df.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=schema, outputMode="append", timeMode="ProcessingTime"
+    )
+
+
+def repair_new_flag(df: DataFrame, key: str = "mid", flag: str = "is_new", ts: str = "ts", ttl_ms: int = DAY_MS) -> DataFrame:
+    return _transform(df, key, NewFlagRepair(flag, ts, ttl_ms), df.schema)
+
+
+def newer_only(df: DataFrame, key: str, ts: str, ttl_ms: int = DAY_MS) -> DataFrame:
+    return _transform(df, key, NewerOnly(ts, ttl_ms), df.schema)
+
+
+def merge_parts(df: DataFrame, key: str, fields: list[str], ts: str, ttl_ms: int = DAY_MS) -> DataFrame:
+    return _transform(df, key, MergeParts(fields, ts, ttl_ms), df.schema)
+
+
+def snapshot_gate(df: DataFrame, key: str, idle_ms: int = SNAPSHOT_IDLE_MS) -> DataFrame:
+    """``df`` has the key first, then ``op`` and ``snapshot`` among its text columns."""
+    columns = [key, *[c for c in df.columns if c != key]]
+    schema = T.StructType([df.schema[c] for c in columns])
+    return _transform(df.select(*columns), key, SnapshotGate(idle_ms, columns), schema)
