@@ -155,3 +155,62 @@ def test_snapshot_gate(spark, frame, rows):
     stream = as_files(df, spark, 2).drop("part")
     got = runner.to_table(state.snapshot_gate(stream, "tbl"), "gate")
     assert rows(got, "op", "id") == [("end", None), ("r", "1"), ("r", "3")]
+
+
+def test_keyed_table_merges_deltas_and_compacts(spark, frame, rows):
+    table = KeyedTable(fresh_path(spark, "keyed"), ["id"], ["v"])
+    assert table.read(spark) is None
+    table.upsert(frame([(1, 1), (2, 2)], "id int, v int"), 0)
+    table.upsert(frame([(1, 3)], "id int, v int"), 1)
+    table.compact(spark, 1)
+    table.upsert(frame([(2, 9), (3, 1)], "id int, v int"), 2)
+    assert rows(table.read(spark), "id", "v") == [(1, 3), (2, 9), (3, 1)]
+    assert rows(table.read(spark, 1), "id", "v") == [(1, 3), (2, 2)]
+
+
+def test_log_parts_are_written_per_batch(spark, frame):
+    from tradewake.streaming.outputs import split_logs
+
+    out = fresh_path(spark, "parts")
+    line = '{"common":{"mid":"m"},"page":{"page_id":"home"},"displays":[{"item":"1"}],"err":{"error_code":"1"},"ts":1}'
+    split_logs(out)(frame([(line,), ("{bad",)], "value string"), 0)
+    count = lambda name: spark.read.parquet(f"{out}/{name}").count()
+    assert [count(n) for n in ("dirty", "err", "start", "display", "action", "page")] == [1, 1, 0, 1, 0, 1]
+
+
+def test_dims_follow_config_changes_between_batches(spark, frame, rows):
+    from tradewake.operators.cdc import config_frame
+    from tradewake.streaming.outputs import dim_rows, dims_by_config
+
+    config = [("user", "dim_user", "id", "info", "id")]
+    table = KeyedTable(fresh_path(spark, "dims"), ["sink_table", "row_key"], ["ts_ms", "op"])
+    write = dims_by_config(lambda s: config_frame(s, config), table)
+    env = lambda op, i, name, ts: ('{"op":"%s","after":{"id":"%s","name":"%s"},"before":{"id":"%s"},"source":{"table":"user"},"ts_ms":%d}' % (op, i, name, i, ts),)
+    write(frame([env("c", 1, "a", 1), env("c", 2, "b", 1)], "value string"), 0)
+    config[0] = ("user", "dim_user", "id,name", "info", "id")
+    write(frame([env("u", 1, "z", 2), env("d", 2, "b", 2)], "value string"), 1)
+    got = dim_rows(table.read(spark), "dim_user").select("row_key", F.to_json("cells"))
+    assert rows(got) == [("1", '{"id":"1","name":"z"}')]
+
+
+def test_wide_orders_follow_later_changes(spark, frame, rows):
+    from tradewake.streaming.outputs import WideOrders
+
+    schema = "kind string, order_detail_id int, order_id int, ts_ms int, refund_id int, refund_create_time int, amount double, province_id int"
+
+    def split(batch):
+        pick = lambda kind, *cols: batch.where(F.col("kind") == kind).select(*cols, "order_id", "ts_ms")
+        return {
+            "detail": pick("detail", "order_detail_id"), "info": pick("info", "province_id"),
+            "activity": pick("activity", "order_detail_id", F.col("province_id").alias("activity_id")),
+            "coupon": pick("coupon", "order_detail_id", F.col("province_id").alias("coupon_id")),
+            "payment": pick("payment", F.col("amount").alias("pay_amount")),
+            "refund": pick("refund", "refund_id", "refund_create_time", F.col("amount").alias("refund_amount")),
+        }
+
+    wide = WideOrders(fresh_path(spark, "wide"), split)
+    wide(frame([("detail", 1, 10, 1, None, None, None, None), ("detail", 2, 20, 1, None, None, None, None), ("info", None, 10, 1, None, None, None, 5)], schema), 0)
+    assert rows(wide.wide.read(spark), "order_detail_id", "event_type", "province_id") == [(1, "order", 5), (2, "order", None)]
+    wide(frame([("payment", None, 10, 2, None, None, 3.0, None), ("info", None, 20, 2, None, None, None, 6)], schema), 1)
+    wide(frame([("refund", None, 10, 3, 1, 9, 2.0, None)], schema), 2)
+    assert rows(wide.wide.read(spark), "order_detail_id", "event_type", "province_id") == [(1, "refund", 5), (2, "order", 6)]

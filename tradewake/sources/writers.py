@@ -67,12 +67,6 @@ def day_bucket(epoch: Column | str) -> Column:
     return F.coalesce(F.concat(F.lit("day="), day), F.lit(ERROR_BUCKET))
 
 
-def merge_latest(stored: DataFrame | None, batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Keyed table after a batch of writes: newest row per key. Replaying a batch changes nothing."""
-    rows = batch if stored is None else stored.unionByName(batch)
-    return latest(rows, keys, order)
-
-
 def jdbc_rows(df: DataFrame, columns: Sequence[str], skip: Sequence[str] = ()) -> DataFrame:
     """Columns in target order without the skipped ones, as positional binding expects."""
     return df.select(*[c for c in columns if c not in skip])
@@ -83,29 +77,41 @@ def write_jdbc(df: DataFrame, url: str, table: str, columns: Sequence[str], skip
     jdbc_rows(df, columns, skip).write.mode("append").jdbc(url, table, properties={"batchsize": str(batch), **(properties or {})})
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+def versions(spark: SparkSession, folder: str) -> list[int]:
+    """Complete ``v=<n>`` folders below a folder."""
+    jvm = spark._jvm.org.apache.hadoop.fs.Path
+    root = jvm(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    found = [s.getPath() for s in fs.listStatus(root)]
+    return sorted(int(p.getName()[2:]) for p in found if fs.exists(jvm(p, "_SUCCESS")))
 
 
 class KeyedTable:
-    """Newest row per key, kept as versions of one folder; safe to replay.
+    """Newest row per key as a base and one small delta per micro-batch.
 
-    A batch writes version ``batch_id`` from the version before it, so a
-    repeated batch rewrites the same version from the same input.
+    A batch writes only its own newest rows, whatever the size of the table; a
+    repeated batch overwrites the same delta, so replays change nothing.
+    Readers merge base and deltas; ``compact`` folds old deltas into a new base.
     """
 
     def __init__(self, path: str, keys: list[str], order: list[str]):
         self.path, self.keys, self.order = path, keys, order
 
-    def version(self, batch_id: int) -> str:
-        return f"{self.path}/v={batch_id}"
-
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = self.version(batch_id - 1)
-        stored = spark.read.parquet(before) if exists(spark, f"{before}/_SUCCESS") else None
-        merge_latest(stored, batch, self.keys, self.order).write.mode("overwrite").parquet(self.version(batch_id))
-
-    def read(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        return spark.read.parquet(self.version(batch_id))
+        latest(batch, self.keys, self.order).write.mode("overwrite").parquet(f"{self.path}/delta/v={batch_id}")
+
+    def read(self, spark: SparkSession, upto: int | None = None) -> DataFrame | None:
+        """The table after batch ``upto`` (the newest when omitted); None while nothing was written."""
+        known = lambda kind: [v for v in versions(spark, f"{self.path}/{kind}") if upto is None or v <= upto]
+        base = known("base")[-1:]
+        deltas = [v for v in known("delta") if not base or v > base[0]]
+        paths = [f"{self.path}/base/v={v}" for v in base] + [f"{self.path}/delta/v={v}" for v in deltas]
+        if not paths:
+            return None
+        rows = spark.read.parquet(*paths)
+        return latest(rows, self.keys, self.order) if deltas else rows
+
+    def compact(self, spark: SparkSession, upto: int) -> None:
+        self.read(spark, upto).write.mode("overwrite").parquet(f"{self.path}/base/v={upto}")
