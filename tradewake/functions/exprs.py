@@ -78,15 +78,22 @@ def from_epoch_any(n: Column | str) -> Column:
     return F.timestamp_millis(F.when(value < SECONDS_LIMIT, value * 1000).otherwise(value))
 
 
+def _exact(a: Column | str, b: Column | str) -> Column:
+    """Quotient of counts or amounts as a decimal, so that ties round half up."""
+    return F.try_divide(col(a).cast("decimal(28,4)"), col(b).cast("decimal(20,2)"))
+
+
 def ratio(a: Column | str, b: Column | str, digits: int | None = None) -> Column:
-    """a / b as double, null when b is 0 or null."""
-    out = F.try_divide(col(a).cast("double"), col(b).cast("double"))
-    return out if digits is None else F.round(out, digits)
+    """a / b as double, null when b is 0 or null; rounded exactly when digits are given."""
+    if digits is None:
+        return F.try_divide(col(a).cast("double"), col(b).cast("double"))
+    return F.round(_exact(a, b), digits).cast("double")
 
 
 def percent(a: Column | str, b: Column | str, digits: int | None = None) -> Column:
-    out = ratio(a, b) * 100
-    return out if digits is None else F.round(out, digits)
+    if digits is None:
+        return ratio(a, b) * 100
+    return F.round(_exact(a, b) * 100, digits).cast("double")
 
 
 def percent_text(a: Column | str, b: Column | str, digits: int = 2) -> Column:

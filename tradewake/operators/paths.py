@@ -73,7 +73,7 @@ def page_type_ranks(log: DataFrame) -> DataFrame:
     per_page = log.groupBy("page_id", "mid").agg(F.count(F.lit(1)).alias("n"), F.sum("during_time").alias("t"), F.count("during_time").alias("tn"))
     by_user = per_page.join(classes, "page_id").groupBy("page_type", "mid").agg(*[F.sum(c).alias(c) for c in ("n", "t", "tn")])
     out = by_user.groupBy("page_type").agg(
-        F.sum("n").alias("pv"), F.count("mid").alias("uv"), F.round(X.ratio(F.sum("t"), F.sum("tn")) / 1000, 2).alias("avg_stay_duration_seconds")
+        F.sum("n").alias("pv"), F.count("mid").alias("uv"), X.ratio(F.sum("t"), F.sum("tn") * 1000, 2).alias("avg_stay_duration_seconds")
     )
     return out.withColumn("rank", F.row_number().over(W.orderBy(F.col("uv").desc(), "page_type")))
 
@@ -116,5 +116,5 @@ def url_ranks(log: DataFrame) -> DataFrame:
     rows = log.where(F.col("page_id").isNotNull()).withColumn("url", X.page_url("page_id"))
     by_user = rows.groupBy("url", "mid").agg(F.count(F.lit(1)).alias("n"), F.sum("during_time").alias("t"), F.count("during_time").alias("tn"))
     return by_user.groupBy("url").agg(
-        F.sum("n").alias("pv"), F.count("mid").alias("uv"), F.round(X.ratio(F.sum("t"), F.sum("tn")) / 1000, 2).alias("during_time")
+        F.sum("n").alias("pv"), F.count("mid").alias("uv"), X.ratio(F.sum("t"), F.sum("tn") * 1000, 2).alias("during_time")
     )

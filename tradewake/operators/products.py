@@ -24,7 +24,7 @@ def trailing(df: DataFrame, as_of: str, first: int, last: int = 0) -> DataFrame:
 
 def _fixed(rate: Column) -> Column:
     """Rates as four-digit decimals, so that averages of them do not depend on row order."""
-    return F.round(rate, 4).cast(RATE)
+    return rate.cast(RATE)
 
 
 def product_days(visit: DataFrame, micro: DataFrame, stay: DataFrame, cart: DataFrame, order: DataFrame, pay: DataFrame,
@@ -63,8 +63,8 @@ def product_days(visit: DataFrame, micro: DataFrame, stay: DataFrame, cart: Data
         total("order", "amount").alias("order_amount"), users("pay").alias("pay_user_cnt"), total("pay", "n").alias("pay_cnt"),
         total("pay", "amount").alias("pay_amount"),
     )
-    out = out.withColumn("avg_stay_duration", F.coalesce(_fixed(X.ratio("_stay", "_stays")), F.lit(0).cast(RATE)))
-    out = out.withColumn("bounce_rate", F.coalesce(_fixed(X.percent("_bounces", "_stays")), F.lit(0).cast(RATE)))
+    out = out.withColumn("avg_stay_duration", F.coalesce(_fixed(X.ratio("_stay", "_stays", 4)), F.lit(0).cast(RATE)))
+    out = out.withColumn("bounce_rate", F.coalesce(_fixed(X.percent("_bounces", "_stays", 4)), F.lit(0).cast(RATE)))
     activity = sum((F.col(c) for c in ("micro_visit_cnt", "avg_stay_duration", "cart_add_cnt", "order_user_cnt", "pay_user_cnt")), F.col("visit_cnt"))
     anchors = reduce(DataFrame.unionByName, [d.select("product_id", "dt") for d in (visit, pay, cart)]).distinct()
     return (
@@ -251,7 +251,7 @@ def price_force_days(pay: DataFrame, visit: DataFrame, change: DataFrame, produc
     uv = visit.select("product_id", "dt", "user_id").distinct().groupBy("product_id", "dt").agg(F.count("user_id").alias("_uv"))
     current = current_prices(change, product)
     ranks = price_percentiles(current).groupBy("product_id").agg(F.max("price_rank").alias("price_rank"), F.max("new_price").alias("_price"))
-    market = current.groupBy("third_cat_id").agg(F.round(X.mean(F.sum("new_price"), F.count("new_price")), 2).cast(MONEY).alias("_market"))
+    market = current.groupBy("third_cat_id").agg(X.ratio(F.sum("new_price"), F.count("new_price"), 2).cast(MONEY).alias("_market"))
     out = (
         paid.join(uv, ["product_id", "dt"], "left")
         .join(ranks, "product_id", "left")
@@ -260,7 +260,7 @@ def price_force_days(pay: DataFrame, visit: DataFrame, change: DataFrame, produc
     )
     return out.select(
         "product_id", "dt", X.price_level("price_rank").alias("price_force_level"), X.zero("_price").cast(MONEY).alias("current_price"),
-        X.zero("_market").cast(MONEY).alias("market_price"), F.coalesce(F.round(X.percent("_payers", "_uv"), 2).cast(MONEY), F.lit(0).cast(MONEY)).alias("pay_conversion"),
+        X.zero("_market").cast(MONEY).alias("market_price"), F.coalesce(X.percent("_payers", "_uv", 2).cast(MONEY), F.lit(0).cast(MONEY)).alias("pay_conversion"),
         "pay_amount", "pay_cnt",
     )
 
@@ -272,7 +272,7 @@ def price_warnings(price_day: DataFrame, product_day: DataFrame, as_of: str, day
         X.mean(F.sum("pay_conversion"), F.count("pay_conversion")).alias("pay_conversion"),
         F.sum("pay_amount").alias("pay_amount"), F.sum("pay_cnt").alias("pay_cnt"),
     )
-    rate = _fixed(X.ratio("pay_user_cnt", "visit_cnt"))
+    rate = _fixed(X.ratio("pay_user_cnt", "visit_cnt", 4))
     daily = product_day.select("product_id", "dt", rate.alias("rate"))
     average = lambda: X.mean(F.sum("rate"), F.count("rate")) * 100
     overall = trailing(daily, as_of, days).agg(average().alias("overall")).scalar()

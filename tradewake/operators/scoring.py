@@ -72,7 +72,7 @@ def _avg(c: str) -> Column:
 def with_market(evaluated: DataFrame, product: DataFrame) -> DataFrame:
     """Adds names and the mean total of the category on that day."""
     named = evaluated.join(product, "product_id")
-    market = named.groupBy("date_key", "category_name").agg(F.round(_avg("total_score"), 2).cast(SCORE).alias("market_avg_score"))
+    market = named.groupBy("date_key", "category_name").agg(X.ratio(F.sum("total_score"), F.count("total_score"), 2).cast(SCORE).alias("market_avg_score"))
     return named.join(market, ["date_key", "category_name"])
 
 
