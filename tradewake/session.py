@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[8]", app: str = "tradewake", shuffle_partitions: int = 8) -> SparkSession:
@@ -25,12 +24,10 @@ def build_session(master: str = "local[8]", app: str = "tradewake", shuffle_part
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """The folder named by ``spark.checkpoint.dir``; where that is unset, one below the session's warehouse folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="tradewake-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_layers"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
@@ -38,3 +35,10 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: later steps neither recompute it nor need its executors."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
