@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewake.llm import line_dedup, shingle_join
+from tradewake.llm import decontaminate, line_dedup, packing, shingle_join, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +25,8 @@ def query(key: str, oracle: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers import this package; where it is not installed they find it beside the caller's
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -63,3 +66,35 @@ SQL_SHINGLES = """list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THE
 def op8_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = shingle_join.similar_groups(table(spark, sf_dir, "documents"), "doc_id", "text", percent=75, size=5)
     return groups.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    models = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, models)
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
+#: Score from which a document counts as toxic.
+TOXIC = 0.3
+
+
+@query("op4_decontaminate", f"""
+WITH d AS (SELECT doc_id, {SQL_WORDS} AS w FROM documents),
+items AS (SELECT item_id, w, least(len(w), 5) AS k FROM (SELECT item_id, {SQL_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+dg AS (SELECT DISTINCT doc_id, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS g
+       FROM d, (SELECT DISTINCT k FROM items) WHERE len(w) >= k),
+ig AS (SELECT DISTINCT item_id, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS g FROM items),
+n AS (SELECT item_id, count(*) AS n_shingles FROM ig GROUP BY item_id)
+SELECT doc_id, item_id, count(*) AS shared, n_shingles FROM dg JOIN ig USING (k, g) JOIN n USING (item_id)
+GROUP BY doc_id, item_id, n_shingles HAVING 100 * count(*) >= 75 * n_shingles""")
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=75, size=5)
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query("op6_pack")
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), capacity=2048, vocabulary="byte_bpe_50k")
+    return packed.select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
