@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewake.llm import decontaminate, line_dedup, packing, shingle_join, toxicity
+from tradewake.llm import decontaminate, html_text, licenses, line_dedup, packing, sharding, shingle_join, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,3 +98,66 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), capacity=2048, vocabulary="byte_bpe_50k")
     return packed.select(F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query("op1_html_text")
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+#: Bytes that a shard of documents may hold.
+SHARD_BYTES = 1 << 20
+
+
+@query("op2_shards", f"""
+WITH d AS (SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 10))::BIGINT AS h, coalesce(strlen(text), 0) AS bytes FROM documents),
+levels AS (SELECT depth, h >> (40 - depth)::INT AS prefix, sum(bytes)::BIGINT AS shard_bytes, count(*) AS shard_rows
+           FROM d, (SELECT unnest(range(0, 41)) AS depth) GROUP BY ALL),
+whole AS (SELECT doc_id, l.*, row_number() OVER (PARTITION BY doc_id ORDER BY l.depth) AS k
+          FROM d JOIN levels l ON l.prefix = d.h >> (40 - l.depth)::INT WHERE shard_bytes <= {SHARD_BYTES} OR shard_rows = 1)
+SELECT doc_id, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), depth::INT, '0') END AS shard, depth, shard_bytes, shard_rows FROM whole WHERE k = 1""")
+def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).alias("n_bytes"))
+    return sharding.assign(docs, "doc_id", F.col("n_bytes"), SHARD_BYTES).drop("n_bytes")
+
+
+#: Least cosine of a line to a licence template.
+LICENSE_COSINE = 0.8
+#: The documents as files of three directory levels by source and id; one id in ten names a licence file, in the
+#: directory of its tens, hundreds of tens or source. Good in Spark SQL and DuckDB alike.
+SQL_PATH = """concat(source, CASE WHEN doc_id % 10000 = 0 THEN '' WHEN doc_id % 1000 = 0 THEN concat('/', CAST(floor(doc_id / 1000) AS BIGINT))
+  ELSE concat('/', CAST(floor(doc_id / 1000) AS BIGINT), '/', CAST(floor(doc_id / 10) AS BIGINT) % 100) END,
+  CASE WHEN doc_id % 10 = 0 THEN concat('/LICENSE.', doc_id) ELSE concat('/', doc_id, '.txt') END)"""
+
+
+def sql_licenses() -> str:
+    known, other = licenses.weights()
+    values = lambda rows: ", ".join(f"({', '.join(map(repr, r))})" for r in rows)
+    parts = [(name, t) for name, text in licenses.TEMPLATES.items() for t in licenses.terms(text)]
+    return f"""
+WITH known(term, w) AS (VALUES {values(known.items())}), templates(name, term) AS (VALUES {values(parts)}),
+mass AS (SELECT name, sum(w) AS mass FROM templates JOIN known USING (term) GROUP BY name),
+files AS (SELECT doc_id AS id, {SQL_PATH} AS path, text FROM documents),
+lines AS (SELECT id, row_number() OVER () AS line, list_distinct(regexp_extract_all(
+            translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+')) AS terms
+          FROM (SELECT id, unnest(string_split(text, chr(10))) AS part FROM files)),
+t AS (SELECT id, line, unnest(terms) AS term FROM lines),
+whole AS (SELECT id, line, sum(coalesce(w, {other})) AS whole FROM t LEFT JOIN known USING (term) GROUP BY id, line),
+dots AS (SELECT id, line, name, sum(w) AS dot FROM t JOIN known USING (term) JOIN templates USING (term) GROUP BY id, line, name),
+scored AS (SELECT id, name, round(dot::DOUBLE / sqrt(whole::DOUBLE * mass::DOUBLE), 6) AS score FROM dots JOIN whole USING (id, line) JOIN mass USING (name)),
+best AS (SELECT id, name AS license, score, row_number() OVER (PARTITION BY id ORDER BY score DESC, name) AS k FROM scored WHERE score >= {LICENSE_COSINE}),
+own AS (SELECT files.id, path, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir, license, score FROM files LEFT JOIN (SELECT * FROM best WHERE k = 1) b ON b.id = files.id),
+holders AS (SELECT dir AS origin_dir, license AS given, score AS given_score, row_number() OVER (PARTITION BY dir ORDER BY score DESC, license) AS k
+            FROM own WHERE license IS NOT NULL AND regexp_matches(path, '/LICENSE[.][^/]*$')),
+nearest AS (SELECT o.id, h.*, row_number() OVER (PARTITION BY o.id ORDER BY length(h.origin_dir) DESC) AS n
+            FROM own o JOIN holders h ON h.k = 1 AND (o.dir = h.origin_dir OR starts_with(o.dir, h.origin_dir || '/')) WHERE o.license IS NULL)
+SELECT own.id AS doc_id, path, coalesce(license, given) AS license, coalesce(score, given_score) AS score,
+       CASE WHEN license IS NOT NULL THEN 'own' WHEN given IS NOT NULL THEN 'inherited' END AS origin, origin_dir
+FROM own LEFT JOIN (SELECT * FROM nearest WHERE n = 1) x ON x.id = own.id"""
+
+
+@query("op9_licenses", sql_licenses())
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "documents").select("doc_id", F.expr(SQL_PATH).alias("path"), "text")
+    return licenses.scan(files, "doc_id", "path", "text", LICENSE_COSINE).withColumnRenamed("id", "doc_id")
