@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewake.llm import decontaminate, html_text, licenses, line_dedup, packing, sharding, shingle_join, toxicity
+from tradewake.llm import decontaminate, html_text, licenses, line_dedup, lm_score, near_vectors, packing, sharding, shingle_join, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -161,3 +161,16 @@ FROM own LEFT JOIN (SELECT * FROM nearest WHERE n = 1) x ON x.id = own.id"""
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = table(spark, sf_dir, "documents").select("doc_id", F.expr(SQL_PATH).alias("path"), "text")
     return licenses.scan(files, "doc_id", "path", "text", LICENSE_COSINE).withColumnRenamed("id", "doc_id")
+
+
+@query("op5_lm_score")
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents labelled as of good quality; background: all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = lm_score.train(docs, table(spark, sf_dir, "labels").where("quality = 1").select("doc_id"))
+    return lm_score.score(docs, model).withColumnRenamed("id", "doc_id")
+
+
+@query("op10_near_vectors")
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_groups(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.95).withColumnRenamed("id", "vec_id")
