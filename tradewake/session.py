@@ -28,7 +28,6 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_layers"
-        spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
