@@ -52,3 +52,26 @@ def test_first_n(skewed, rows):
     want = skewed.withColumn("rn", F.row_number().over(W.partitionBy("g").orderBy(F.col("v").desc(), "id"))).where("rn <= 2")
     assert rows(got, "g", "id") == rows(want, "g", "id")
     assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()
+
+
+NULLS = [("a", 3, "x"), ("a", None, "y"), (None, 2, "z"), (None, None, "w"), ("a", 3, "v"), (None, 2, None)]
+
+
+def test_no_row_is_lost_to_nulls(frame, rows):
+    df = frame(NULLS, "g string, v int, id string")
+    got = rows(P.ranked(df, ["g"], "v", 1.0))
+    window = rows(df.withColumn("rank", F.rank().over(W.partitionBy("g").orderBy(F.col("v").desc_nulls_last()))))
+    assert got == window and len(got) == 6
+    share = rows(P.cumulative_share(df, ["g"], "v", 1.0))
+    assert share == rows(df.withColumn("share", F.cume_dist().over(W.partitionBy("g").orderBy(F.col("v").asc_nulls_first()))))
+    number = P.numbered(df.withColumn("t", F.length("id")), ["g"], "v", 1.0, "t", 10)
+    assert number.count() == 6
+
+
+def test_neighbours_of_null_keys(frame, rows):
+    df = frame([(None, 1, "a"), (None, 25, "b"), ("k", 2, "c"), ("k", 90, None), (None, 70, "d")], "k string, t int, v string")
+    bucket = F.floor(F.col("t") / 10)
+    assert rows(P.following(df, ["k"], ["t"], "v", "nxt", bucket)) == rows(df.withColumn("nxt", F.lead("v").over(W.partitionBy("k").orderBy("t"))))
+    assert rows(P.running_last(df, ["k"], ["t"], ["v"], bucket)) == rows(
+        df.withColumn("v", F.last("v", ignorenulls=True).over(W.partitionBy("k").orderBy("t"))))
+    assert len(P.above_earlier(df, ["k"], ["t"], "t", bucket).collect()) == 5

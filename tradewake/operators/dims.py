@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tradewake.functions import exprs as X
+from tradewake.operators.positions import matched
+from tradewake.session import store
 
 OPEN_END = "9999-12-31"
 
@@ -37,6 +41,15 @@ def grouped_rows(df: DataFrame, key: str, row_id: str, columns: list[str], chunk
     )
 
 
+def terminals(facts: list[DataFrame]) -> DataFrame:
+    """Terminals seen in any of the facts, with name and device type."""
+    seen = reduce(DataFrame.unionByName, [f.select("terminal") for f in facts]).distinct()
+    # fixed values: labels
+    name = F.when(F.col("terminal") == "PC", "电脑端").when(F.col("terminal") == "Wireless", "无线端").when(
+        F.col("terminal") == "App", "应用端").otherwise(F.col("terminal"))
+    return seen.select("terminal", name.alias("terminal_name"), X.device_type("terminal").alias("device_type"))
+
+
 def category_tree(product: DataFrame) -> DataFrame:
     """Categories from three id columns: deepest level per id, path as name, parent."""
     a, b, c = (F.col(x).cast("string") for x in ("first_cat_id", "second_cat_id", "third_cat_id"))
@@ -63,13 +76,16 @@ def category_path(c3: DataFrame, c2: DataFrame, c1: DataFrame) -> DataFrame:
 
 
 def sku_snowflake(sku: DataFrame, spu: DataFrame, path: DataFrame, keywords: DataFrame, buyers: DataFrame) -> DataFrame:
-    """Item with product, category path, hot keywords and buyers; one row per combination that exists."""
-    return (
-        sku.join(spu, "spu_id", "left")
-        .join(path, "category3_id", "left")
-        .join(keywords, "category1_id", "left")
-        .join(buyers, "sku_id", "left")
-    )
+    """Item with product, category path, a row for each hot keyword, and the number of its buyers.
+
+    Buyers are counted before they meet the keywords: a row for each pair of
+    the two would say nothing more. Keywords hang on the category paths.
+    """
+    counted = buyers.where(F.col("user_id").isNotNull()).groupBy("sku_id", "user_id").agg(F.lit(1).alias("_one"))
+    counted = counted.groupBy("sku_id").agg(F.count("*").alias("buyer_count"))
+    worded = path.join(keywords, "category1_id", "left")
+    out = sku.join(spu, "spu_id", "left").join(worded, "category3_id", "left").join(counted, "sku_id", "left")
+    return out.withColumn("buyer_count", X.zero("buyer_count"))
 
 
 def calendar(spark: SparkSession, first: str, last: str) -> DataFrame:
@@ -95,19 +111,20 @@ def date_parts(df: DataFrame, day: str) -> DataFrame:
 # ---- versioned dimensions --------------------------------------------------
 
 
-def surrogate_keys(df: DataFrame, natural: str, name: str, span: int = 100_000) -> DataFrame:
-    """Dense keys 1..n in the order of an integer natural key.
+def surrogate_keys(df: DataFrame, natural: str, name: str) -> DataFrame:
+    """Dense keys 1..n in the order of the natural key, null keys first.
 
-    Numbered per range of ``span`` natural keys; ranges are shifted by the
-    number of keys before them, so no task sees more than one range.
+    Rows are dealt out by ranges of the key and stored with their part. Parts
+    are numbered side by side and shifted by the rows of the parts before
+    them; there are as many parts as shuffle partitions, whatever the rows.
     """
-    ranges = df.withColumn("_range", F.floor(F.col(natural) / span))
-    sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    shift = F.coalesce(F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    inside = F.row_number().over(W.partitionBy("_range").orderBy(natural))
+    parts = store(df.repartitionByRange(natural).withColumn("_part", F.spark_partition_id()), "keyed")
+    sizes = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    shift = F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    inside = F.row_number().over(W.partitionBy("_part").orderBy(natural))
     return (
-        ranges.withColumn("_inside", inside)
-        .join(sizes.select("_range", shift.alias("_shift")), "_range")
+        parts.withColumn("_inside", inside)
+        .join(sizes.select("_part", shift.alias("_shift")), "_part")
         .select((F.col("_inside") + F.col("_shift")).alias(name), *df.columns)
     )
 
@@ -125,12 +142,13 @@ def initial_versions(df: DataFrame, natural: str, surrogate: str, as_of: str) ->
 def next_versions(dim: DataFrame, rows: DataFrame, natural: str, surrogate: str, tracked: list[str], as_of: str) -> DataFrame:
     """The dimension after a later load: changed rows closed and reopened, new ones added."""
     stamp = F.lit(as_of).cast("date")
-    current = dim.where(F.col("current_flag") == "Y")
-    old = current.select(natural, F.xxhash64(*tracked).alias("_old"))
-    marked = rows.withColumn("_new", F.xxhash64(*tracked)).join(old, natural, "left")
-    changed = marked.where(F.col("_old").isNull() | (F.col("_old") != F.col("_new"))).drop("_old", "_new")
-    closing = changed.select(natural).withColumn("_close", F.lit(True))
-    kept = dim.join(closing, natural, "left")
+    old = dim.where(F.col("current_flag") == "Y").select(natural, F.struct(*tracked).alias("_old"))
+    marked = matched(rows, old, [natural], "left")
+    same = F.col("_old").isNotNull()
+    for c in tracked:
+        same &= F.col(c).eqNullSafe(F.col("_old")[c])
+    changed = store(marked.where(~same).drop("_old"), "changed")
+    kept = matched(dim, changed.select(natural).withColumn("_close", F.lit(True)), [natural], "left")
     closes = F.col("_close").isNotNull() & (F.col("current_flag") == "Y")
     kept = (
         kept.withColumn("end_date", F.when(closes, F.date_sub(stamp, 1)).otherwise(F.col("end_date")))

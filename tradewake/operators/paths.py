@@ -64,14 +64,15 @@ def latest_page_types(log: DataFrame) -> DataFrame:
     return newest.select("page_id", F.col("item_type").alias("page_item_type"), X.page_type("page_id").alias("page_type"))
 
 
-def page_type_ranks(log: DataFrame) -> DataFrame:
-    """Views, visitors and mean stay per page class, ranked by visitors.
+def page_type_ranks(log: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Views, visitors and mean stay per page class from day ``first`` to day ``last``, ranked by visitors.
 
-    The ranking window has no partition: its input is one row per page class.
+    The class depends on the page alone. The ranking window has no partition: its input is one row per page class.
     """
-    classes = latest_page_types(log).select("page_id", "page_type")
-    per_page = log.groupBy("page_id", "mid").agg(F.count(F.lit(1)).alias("n"), F.sum("during_time").alias("t"), F.count("during_time").alias("tn"))
-    by_user = per_page.join(classes, "page_id").groupBy("page_type", "mid").agg(*[F.sum(c).alias(c) for c in ("n", "t", "tn")])
+    for day, inside in ((first, F.col("dt") >= first), (last, F.col("dt") <= last)):
+        log = log if day is None else log.where(inside)
+    rows = log.where(F.col("page_id").isNotNull()).withColumn("page_type", X.page_type("page_id"))
+    by_user = rows.groupBy("page_type", "mid").agg(F.count(F.lit(1)).alias("n"), F.sum("during_time").alias("t"), F.count("during_time").alias("tn"))
     out = by_user.groupBy("page_type").agg(
         F.sum("n").alias("pv"), F.count("mid").alias("uv"), X.ratio(F.sum("t"), F.sum("tn") * 1000, 2).alias("avg_stay_duration_seconds")
     )
@@ -79,7 +80,7 @@ def page_type_ranks(log: DataFrame) -> DataFrame:
 
 
 def path_shares(log: DataFrame, payment: DataFrame, other_sources_only: bool = False) -> DataFrame:
-    """Distinct visitors and payment totals per day and page transition, with shares of the day.
+    """Distinct visitors and payment totals per day and page transition, with shares of the day, most visitors first.
 
     A visitor's payments of the day count on every transition record; records
     are counted per visitor before the payments are joined.
@@ -100,6 +101,7 @@ def path_shares(log: DataFrame, payment: DataFrame, other_sources_only: bool = F
         .withColumn("visitor_percentage", X.percent("visitor_count", "_v", 2))
         .withColumn("payment_percentage", X.percent("total_payment_amount", "_p", 2))
         .drop("_v", "_p")
+        .orderBy(F.col("visitor_count").desc(), *keys)
     )
 
 
@@ -112,9 +114,10 @@ def channel_bounces(log: DataFrame, n: int = 20) -> DataFrame:
 
 
 def url_ranks(log: DataFrame) -> DataFrame:
-    """Views, visitors and mean stay per page address."""
+    """Views, visitors and mean stay per page address, most views first."""
     rows = log.where(F.col("page_id").isNotNull()).withColumn("url", X.page_url("page_id"))
     by_user = rows.groupBy("url", "mid").agg(F.count(F.lit(1)).alias("n"), F.sum("during_time").alias("t"), F.count("during_time").alias("tn"))
-    return by_user.groupBy("url").agg(
+    out = by_user.groupBy("url").agg(
         F.sum("n").alias("pv"), F.count("mid").alias("uv"), X.ratio(F.sum("t"), F.sum("tn") * 1000, 2).alias("during_time")
     )
+    return out.orderBy(F.col("pv").desc(), "url")

@@ -8,14 +8,19 @@ Bucket boundaries are fixed rules on the values, so recomputed tasks agree.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on keys that are never null."""
-    return left.join(right, keys, "left")
+def matched(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where a null equals a null, with one copy of the keys."""
+    renamed = [f"_right_{k}" for k in keys]
+    right = right.withColumnsRenamed(dict(zip(keys, renamed)))
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)])
+    return left.join(right, same, how).drop(*renamed)
 
 
 def histogram(df: DataFrame, groups: list[str], value: str, width: float, descending: bool = False) -> DataFrame:
@@ -39,22 +44,22 @@ def histogram(df: DataFrame, groups: list[str], value: str, width: float, descen
     )
     inside = W.partitionBy(*groups, "_bucket").orderBy(direction(value)).rowsBetween(*ahead)
     inner = counts.withColumn("_inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    return inner.join(buckets, [*groups, "_bucket"]).select(
+    return matched(inner, buckets, [*groups, "_bucket"]).select(
         *groups, value, "n", (F.col("_offset") + F.col("_inside")).alias("before"), "total"
     )
 
 
 def ranked(df: DataFrame, groups: list[str], value: str, width: float, out: str = "rank") -> DataFrame:
-    """Rank by ``value`` descending inside the groups, ties sharing the best rank."""
+    """Rank by ``value`` descending inside the groups, ties sharing the best rank, nulls behind all values."""
     h = histogram(df, groups, value, width, descending=True)
-    return df.join(h.select(*groups, value, (F.col("before") + 1).alias(out)), [*groups, value])
+    return matched(df, h.select(*groups, value, (F.col("before") + 1).alias(out)), [*groups, value])
 
 
 def cumulative_share(df: DataFrame, groups: list[str], value: str, width: float, out: str = "share") -> DataFrame:
-    """Share of the group's rows whose value is not above this one."""
+    """Share of the group's rows whose value is not above this one; a null is below all values."""
     h = histogram(df, groups, value, width)
     share = (F.col("before") + F.col("n")).cast("double") / F.col("total").cast("double")
-    return df.join(h.select(*groups, value, share.alias(out)), [*groups, value])
+    return matched(df, h.select(*groups, value, share.alias(out)), [*groups, value])
 
 
 def numbered(
@@ -63,7 +68,7 @@ def numbered(
     """Row number by ``value`` descending, then unique ``tie`` ascending."""
     first = ranked(df, groups, value, width, "_first")
     ties = histogram(first, [*groups, value], tie, tie_width)
-    return first.join(ties.select(*groups, value, tie, F.col("before").alias("_tie")), [*groups, value, tie]).select(
+    return matched(first, ties.select(*groups, value, tie, F.col("before").alias("_tie")), [*groups, value, tie]).select(
         *df.columns, (F.col("_first") + F.col("_tie")).alias(out)
     )
 
@@ -84,7 +89,7 @@ def following(
     edge = F.lead("_head").over(W.partitionBy(*keys).orderBy("_bucket"))
     edges = heads.select(*keys, "_bucket", edge.alias("_edge"))
     picked = F.coalesce(F.col("_next"), F.col("_edge"))[value]
-    return _same(rows, edges, [*keys, "_bucket"]).select(*df.columns, picked.alias(out))
+    return matched(rows, edges, [*keys, "_bucket"], "left").select(*df.columns, picked.alias(out))
 
 
 def running_last(
@@ -103,7 +108,7 @@ def running_last(
     )
     for v in values:
         rows = rows.withColumn(f"_in_{v}", F.last(v, ignorenulls=True).over(inside))
-    return _same(rows, carried, [*keys, "_bucket"]).select(
+    return matched(rows, carried, [*keys, "_bucket"], "left").select(
         *[
             (F.coalesce(f"_in_{c}", f"_carry_{c}").alias(c) if c in values else F.col(c)) for c in df.columns
         ]
@@ -121,7 +126,7 @@ def above_earlier(df: DataFrame, keys: list[str], order: list[str], value: str,
         *keys, "_bucket", F.max("_peak").over(W.partitionBy(*keys).orderBy("_bucket").rowsBetween(*earlier)).alias("_carry")
     )
     best = F.greatest("_in", "_carry")
-    return _same(rows, carried, [*keys, "_bucket"]).where(best.isNull() | (F.col(value) > best)).select(*df.columns)
+    return matched(rows, carried, [*keys, "_bucket"], "left").where(best.isNull() | (F.col(value) > best)).select(*df.columns)
 
 
 def running_total(df: DataFrame, keys: list[str], order: str, value: str, out: str) -> DataFrame:

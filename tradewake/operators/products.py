@@ -15,10 +15,20 @@ RATE = "decimal(18,4)"
 MONEY = "decimal(18,2)"
 
 
+#: Time columns of the facts; ``dt`` is their day.
+TIMES = ("event_time", "entry_time", "visit_time", "search_time", "action_time")
+
+
 def trailing(df: DataFrame, as_of: str, first: int, last: int = 0) -> DataFrame:
-    """Rows whose day lies in [as_of - first, as_of - last)."""
+    """Rows whose day lies in [as_of - first, as_of - last).
+
+    A fact's own time is bounded too: unlike the day's text, that bound reaches the scan.
+    """
     day = F.lit(as_of).cast("date")
     bound = lambda n: F.date_format(F.date_sub(day, n), "yyyy-MM-dd")
+    for time in (c for c in TIMES if c in df.columns):
+        kind = df.schema[time].dataType
+        df = df.where((F.col(time) >= F.date_sub(day, first).cast(kind)) & (F.col(time) < F.date_sub(day, last).cast(kind)))
     return df.where((F.col("dt") >= bound(first)) & (F.col("dt") < bound(last)))
 
 
@@ -38,7 +48,7 @@ def product_days(visit: DataFrame, micro: DataFrame, stay: DataFrame, cart: Data
     """
 
     def rows(df, kind, user=F.lit(None).cast("bigint"), amount=F.lit(0), stay_s=F.lit(0), bounce=F.lit(0)):
-        return df.select("product_id", "dt", F.lit(kind).alias("kind"), user.alias("user"), amount.cast(MONEY).alias("amount"),
+        return trailing(df, as_of, days).select("product_id", "dt", F.lit(kind).alias("kind"), user.alias("user"), amount.cast(MONEY).alias("amount"),
                          stay_s.cast(MONEY).alias("stay"), bounce.cast("bigint").alias("bounce"))
 
     user = F.col("user_id")
@@ -50,7 +60,7 @@ def product_days(visit: DataFrame, micro: DataFrame, stay: DataFrame, cart: Data
         rows(order, "order", user, F.col("amount")),
         rows(pay, "pay", user, F.col("amount")),
     ])
-    per_user = trailing(facts, as_of, days).groupBy("product_id", "dt", "kind", "user").agg(
+    per_user = facts.groupBy("product_id", "dt", "kind", "user").agg(
         F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"), F.sum("stay").alias("stay"), F.sum("bounce").alias("bounce")
     )
     of = lambda kind, c: F.when(F.col("kind") == kind, F.col(c))
@@ -66,12 +76,12 @@ def product_days(visit: DataFrame, micro: DataFrame, stay: DataFrame, cart: Data
     out = out.withColumn("avg_stay_duration", F.coalesce(_fixed(X.ratio("_stay", "_stays", 4)), F.lit(0).cast(RATE)))
     out = out.withColumn("bounce_rate", F.coalesce(_fixed(X.percent("_bounces", "_stays", 4)), F.lit(0).cast(RATE)))
     activity = sum((F.col(c) for c in ("micro_visit_cnt", "avg_stay_duration", "cart_add_cnt", "order_user_cnt", "pay_user_cnt")), F.col("visit_cnt"))
-    anchors = reduce(DataFrame.unionByName, [d.select("product_id", "dt") for d in (visit, pay, cart)]).distinct()
+    anchors = lambda c, of: reduce(DataFrame.unionByName, [of(d).select(c) for d in (visit, pay, cart)]).distinct()
     return (
         out.where(activity > 0)
         .drop("_stays", "_stay", "_bounces")
-        .join(anchors.select("product_id").distinct(), "product_id", "left_semi")
-        .join(anchors.select("dt").distinct(), "dt", "left_semi")
+        .join(anchors("product_id", lambda d: d), "product_id", "left_semi")
+        .join(anchors("dt", lambda d: trailing(d, as_of, days)), "dt", "left_semi")
     )
 
 
@@ -130,15 +140,19 @@ def traffic_trailing(traffic_day: DataFrame, as_of: str, days: int = 7) -> DataF
     )
 
 
-def traffic_sources(visit: DataFrame, source: DataFrame, pay: DataFrame, sources: list[str]) -> DataFrame:
-    """Every visited product and day with each known source, figures 0 where none.
+def source_dim(source: DataFrame) -> DataFrame:
+    """The traffic sources that occur, named by themselves."""
+    return source.select("source_type").where(F.col("source_type").isNotNull()).distinct().withColumn("source_name", F.col("source_type"))
 
-    The sources are a fixed short list, exploded per row; sides are made
+
+def traffic_sources(visit: DataFrame, source: DataFrame, pay: DataFrame) -> DataFrame:
+    """Every visited product and day with each source that occurs, figures 0 where none.
+
+    The sources are grouped into one array, which is exploded per row; sides are made
     distinct before they meet, so a busy user brings a row per source and product.
     """
-    skeleton = visit.select("dt", "product_id").distinct().withColumn(
-        "source_type", F.explode(F.array(*[F.lit(s) for s in sources]))
-    )
+    known = source_dim(source).agg(F.sort_array(F.collect_set("source_type"))).scalar()
+    skeleton = visit.select("dt", "product_id").distinct().withColumn("source_type", F.explode(known))
     came = source.select("user_id", "dt", "source_type").distinct()
     saw = visit.select("user_id", "dt", "product_id").distinct()
     paid = pay.select("user_id", "dt", "product_id").distinct().withColumn("paid", F.lit(1))

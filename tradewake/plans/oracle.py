@@ -193,5 +193,5 @@ def sql(body: str, **steps: str) -> str:
     for text in steps.values():
         add(text)
     add(body)
-    parts = [f"{name} AS ({VIEWS[name]})" for name in needed] + [f"{name} AS ({text})" for name, text in steps.items()]
+    parts = [f"{name} AS ({VIEWS[name]})" for name in needed] + [f"{name} AS MATERIALIZED ({text})" for name, text in steps.items()]
     return (f"WITH {', '.join(parts)} " if parts else "") + body

@@ -143,6 +143,35 @@ def write_dynamic_partition(t):
     return t.spark.read.parquet(path)
 
 
+@query("write_static_partition", sql("SELECT order_id, CASE WHEN dt = '2024-01-05' THEN 'redone' ELSE status END AS status, dt FROM order_info"))
+def write_static_partition(t):
+    """All days, then the folder of one day dropped and written again."""
+    path = fresh_path(t.spark, "static")
+    rows = t.order_info.select("order_id", "status", "dt")
+    W.overwrite_partitions(W.by_partition(rows, "dt"), path, ["dt"])
+    W.drop_partitions(t.spark, path, "dt", ["2024-01-05"])
+    W.write_partition(rows.where(c("dt") == "2024-01-05").withColumn("status", F.lit("redone")).drop("dt"), path, "dt", "2024-01-05")
+    return t.spark.read.parquet(path).withColumn("dt", c("dt").cast("string"))
+
+
+@query("retention_drop", sql("SELECT order_id, dt FROM order_info WHERE dt > '2024-02-10'"))
+def retention_drop(t):
+    """Daily folders older than the retention are dropped from the table."""
+    path = fresh_path(t.spark, "retention")
+    W.overwrite_partitions(W.by_partition(t.order_info.select("order_id", "dt"), "dt"), path, ["dt"])
+    table = t.spark.read.schema("order_id bigint, dt string").parquet(path)
+    W.drop_partitions(t.spark, path, "dt", [r["dt"] for r in W.expired_partitions(table, "dt", "2024-03-01", 20).collect()])
+    return t.spark.read.schema("order_id bigint, dt string").parquet(path)
+
+
+@query("src_first_line", sql("SELECT CAST(min(order_id) AS VARCHAR) || ',first' AS value FROM order_info"))
+def src_first_line(t):
+    """The first line of a file with the orders in order."""
+    path = fresh_path(t.spark, "first-line")
+    W.sorted_lines(t.order_info, "order_id", F.concat(c("order_id").cast("string"), F.lit(",first")), path)
+    return R.first_line(t.spark, path)
+
+
 @query("sink_day_bucket", sql("""
     SELECT order_id, CASE WHEN order_id % 29 = 0 THEN 'error_bucket' ELSE 'day=' || strftime(order_time, '%Y%m%d') END AS bucket FROM order_info"""))
 def sink_day_bucket(t):

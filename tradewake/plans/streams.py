@@ -26,15 +26,6 @@ def wm_bounded_s(t):
     return runner.to_table(counts.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("stt"), "topic", "n"), "wm")
 
 
-@query("late_rows", sql("""
-    SELECT b.event_id, b.arrival FROM b JOIN w ON b.arrival = w.arrival WHERE b.ts < w.peak - INTERVAL 1 HOUR""",
-    b="SELECT event_id, ts, event_id // 100 + CASE WHEN event_id % 7 = 0 THEN 2 ELSE 0 END AS arrival FROM log",
-    w="SELECT arrival, max(max(ts)) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS peak FROM b GROUP BY arrival"))
-def late_rows(t):
-    rows = t.log.select("event_id", "ts", (F.floor(c("event_id") / 100) + F.when(c("event_id") % 7 == 0, 2).otherwise(0)).alias("arrival"))
-    return M.late_rows(rows, "arrival", "ts", 3600).select("event_id", "arrival")
-
-
 @query("fix_is_new", sql("""
     SELECT l.event_id, l.mid, CASE WHEN new_flag = '1' AND CAST(l.ts AS DATE) <> f.day THEN '0' ELSE new_flag END AS is_new
     FROM n l JOIN (SELECT mid, CASE WHEN new_flag = '1' THEN CAST(ts AS DATE) ELSE CAST(ts AS DATE) - 1 END AS day

@@ -243,7 +243,9 @@ def category_levels(t: Tables):
     text = lambda x: x.cast("string")
     c3 = size.select(c("category_id").alias("category3_id"), F.concat(F.lit("c3_"), text(c("category_id"))).alias("category3_name"),
                      (c("category_id") % 10).alias("category2_id"))
-    c2 = size.select((c("category_id") % 10).alias("category2_id")).distinct().where("category2_id <> 7").select(
+    # the second level 7 has another id here, so third levels below it find none
+    second = F.when(c("category_id") % 10 == 7, 107).otherwise(c("category_id") % 10)
+    c2 = size.select(second.alias("category2_id")).distinct().select(
         "category2_id", F.concat(F.lit("c2_"), text(c("category2_id"))).alias("category2_name"), (c("category2_id") % 3).alias("category1_id"))
     c1 = size.select((c("category_id") % 3).alias("category1_id")).distinct().select(
         "category1_id", F.concat(F.lit("c1_"), text(c("category1_id"))).alias("category1_name"))
@@ -260,16 +262,16 @@ PATH_SQL = """SELECT c3.category_id AS category3_id, 'c3_' || c3.category_id AS
     SELECT p.item_id % 30 AS activity_id, p.item_id AS sku_id, r.rule_id, 'act_' || (p.item_id % 30) AS activity_name,
            p.item_name AS sku_name, h.category1_id, h.category1_name, h.category2_id, h.category2_name, p.category_id AS category3_id,
            h.category3_name, p.brand_id AS tm_id, p.brand_name AS tm_name
-    FROM dim_item p LEFT JOIN (SELECT DISTINCT category_id AS rule_id, category_id % 30 AS activity_id FROM dim_category WHERE category_id % 30 < 20) r
-         ON p.item_id % 30 = r.activity_id
-    LEFT JOIN path h ON p.category_id = h.category3_id
-    WHERE p.item_id % 30 < 25""", path=PATH_SQL))
+    FROM dim_item p JOIN (SELECT DISTINCT item_id % 25 AS activity_id FROM dim_item) a ON p.item_id % 30 = a.activity_id
+    LEFT JOIN (SELECT DISTINCT category_id AS rule_id, category_id % 20 AS activity_id FROM dim_category) r ON p.item_id % 30 = r.activity_id
+    LEFT JOIN path h ON p.category_id = h.category3_id""", path=PATH_SQL))
 def activity_sku_wide(t):
     item = t.dim_item
     link = item.select((c("item_id") % 30).alias("activity_id"), c("item_id").alias("sku_id"))
-    activity = item.select((c("item_id") % 30).alias("activity_id")).distinct().where("activity_id < 25").withColumn(
+    # links go to 30 activities; 25 of them exist and 20 have rules
+    activity = item.select((c("item_id") % 25).alias("activity_id")).distinct().withColumn(
         "activity_name", F.concat(F.lit("act_"), c("activity_id").cast("string")))
-    rule = t.dim_category.select(c("category_id").alias("rule_id"), (c("category_id") % 30).alias("activity_id")).where("activity_id < 20")
+    rule = t.dim_category.select(c("category_id").alias("rule_id"), (c("category_id") % 20).alias("activity_id"))
     sku = item.select(c("item_id").alias("sku_id"), c("item_name").alias("sku_name"), c("category_id").alias("category3_id"), c("brand_id").alias("tm_id"))
     tm = item.select(c("brand_id").alias("tm_id"), c("brand_name").alias("tm_name")).distinct()
     return J.activity_sku_wide(link, activity, rule, sku, D.category_path(*category_levels(t)), tm)
@@ -277,17 +279,17 @@ def activity_sku_wide(t):
 
 @query("sku_snowflake", sql("""
     SELECT p.item_id AS sku_id, CAST(p.price AS DOUBLE) AS price, p.item_name AS sku_name, p.item_id % 100 AS spu_id, 'spu_' || (p.item_id % 100) AS spu_name,
-           p.category_id AS category3_id, h.category3_name, h.category2_id, h.category2_name, h.category1_id, h.category1_name, k.keyword, b.user_id
+           p.category_id AS category3_id, h.category3_name, h.category2_id, h.category2_name, h.category1_id, h.category1_name, k.keyword, coalesce(b.n, 0) AS buyer_count
     FROM dim_item p LEFT JOIN path h ON p.category_id = h.category3_id
-    LEFT JOIN (SELECT DISTINCT k % 3 AS category1_id, 'kw' || (k % 10) AS keyword FROM log WHERE k % 10 < 4) k ON h.category1_id = k.category1_id
-    LEFT JOIN (SELECT l_partkey AS sku_id, o_custkey AS user_id FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey) b ON p.item_id = b.sku_id""",
+    LEFT JOIN (SELECT DISTINCT k % 3 AS category1_id, 'kw' || (k % 10) AS keyword FROM log) k ON h.category1_id = k.category1_id
+    LEFT JOIN (SELECT l_partkey AS sku_id, count(DISTINCT o_custkey) AS n FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey GROUP BY 1) b ON p.item_id = b.sku_id""",
     path=PATH_SQL))
 def sku_snowflake(t):
     item = t.dim_item
     sku = item.select(c("item_id").alias("sku_id"), "price", c("item_name").alias("sku_name"), (c("item_id") % 100).alias("spu_id"),
                       c("category_id").alias("category3_id"))
     spu = item.select((c("item_id") % 100).alias("spu_id")).distinct().withColumn("spu_name", F.concat(F.lit("spu_"), c("spu_id").cast("string")))
-    words = t.log.select((c("k") % 3).alias("category1_id"), (c("k") % 10).alias("word")).where("word < 4").distinct().select(
+    words = t.log.select((c("k") % 3).alias("category1_id"), (c("k") % 10).alias("word")).distinct().select(
         "category1_id", F.concat(F.lit("kw"), c("word").cast("string")).alias("keyword"))
     buyers = t.read("lineitem").select(c("l_partkey").alias("sku_id"), c("l_orderkey").alias("order_id")).join(
         t.order_info.select("order_id", "user_id"), "order_id", "left").drop("order_id")
@@ -334,7 +336,7 @@ def paid_detail(t: Tables):
 
 
 def dim_terminal(t: Tables):
-    from tradewake.operators.aggregates import terminals
+    from tradewake.operators.dims import terminals
 
     return terminals([t.visit, t.micro]).select("terminal", "device_type")
 
@@ -414,6 +416,18 @@ def dim_activity(t: Tables):
     return A.with_activity(t.payment).select("activity_id", "activity_name").distinct()
 
 
+@query("dim_payment_method", sql(f"SELECT DISTINCT payment_method, {METHOD_NAME} AS method_name FROM payment"))
+def dim_payment_method(t):
+    return dim_method(t)
+
+
+@query("dim_activity", sql(f"""
+    SELECT DISTINCT {ACTIVITY_ID} AS activity_id,
+           CASE WHEN is_group_buy = 1 THEN '聚划算' WHEN is_presale = 1 THEN '预售活动-' || {STAGE_NAME} ELSE '普通商品活动' END AS activity_name FROM payment"""))
+def dim_activity_stage(t):
+    return dim_activity(t)
+
+
 @query("payment_activity", sql(f"""
     SELECT p.payment_id, p.order_id, p.product_id AS item_id, p.user_id, CAST(p.payment_amount AS DOUBLE) AS payment_amount,
            o.quantity, {METHOD_NAME} AS method_name, {ACTIVITY_ID} AS activity_id,
@@ -424,7 +438,8 @@ def dim_activity(t: Tables):
 def payment_activity(t):
     pay = t.payment.withColumnRenamed("product_id", "item_id").drop("quantity")
     lines = t.order_item.select("order_id", c("product_id").alias("item_id"), "quantity")
-    known = dim_activity(t).where(c("activity_id") != "JUHUASUAN")
+    # the dim has another id for one activity, so its payments find none
+    known = dim_activity(t).withColumn("activity_id", F.when(c("activity_id") == "JUHUASUAN", "JUHUASUAN_OLD").otherwise(c("activity_id")))
     return A.payment_activity(pay, dim_method(t), t.dim_item.select("item_id", "category_id"), lines, known).select(
         "payment_id", "order_id", "item_id", "user_id", "payment_amount", "quantity", "method_name", "activity_id", "activity_name", "category_id")
 

@@ -41,6 +41,23 @@ def retained(df: DataFrame, day: str, as_of: str, days: int = 180) -> DataFrame:
     return df.where((F.col(day) > F.date_sub(F.lit(as_of).cast("date"), days)) & (F.col(day) <= F.lit(as_of).cast("date")))
 
 
+def write_partition(df: DataFrame, path: str, key: str, value: str) -> None:
+    """Writes rows without their partition column into the folder of one value, over what was there."""
+    df.write.mode("overwrite").parquet(f"{path}/{key}={value}")
+
+
+def drop_partitions(spark: SparkSession, path: str, key: str, values: Sequence[str]) -> None:
+    """Deletes the folders of partition values; a list of values is short, one per day."""
+    for value in values:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{key}={value}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def sorted_lines(df: DataFrame, order: str, line: Column, path: str) -> None:
+    """Lines of text files in the order of a column across files: ranges first, then sorted inside each."""
+    df.select(order, line.alias("value")).repartitionByRange(order).sortWithinPartitions(order).select("value").write.text(path)
+
+
 def expired_partitions(df: DataFrame, day: str, as_of: str, days: int = 180) -> DataFrame:
     """Partition values a retention job would drop."""
     return df.where(F.col(day) <= F.date_sub(F.lit(as_of).cast("date"), days)).select(day).distinct()

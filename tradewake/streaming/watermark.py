@@ -1,9 +1,8 @@
-"""Event time, watermarks and the audit of late rows."""
+"""Event time and watermarks."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tradewake.functions import exprs as X
@@ -13,15 +12,3 @@ def bounded(df: DataFrame, field: str, delay: str, text: str = "value", ts: str
     """Event time from an epoch field of the JSON text; 1970 when missing or unreadable."""
     ms = F.get_json_object(text, f"$.{field}").try_cast("bigint")
     return df.withColumn(ts, X.from_millis(F.coalesce(ms, F.lit(0)))).withWatermark(ts, delay)
-
-
-def late_rows(df: DataFrame, batch: str, ts: str, delay_seconds: int) -> DataFrame:
-    """Rows behind the watermark their micro-batch starts with.
-
-    The watermark comes from one maximum per micro-batch, so the window
-    without partitions sees as many rows as there were batches.
-    """
-    peaks = df.groupBy(batch).agg(F.max(ts).alias("_peak"))
-    before = F.max("_peak").over(W.orderBy(batch).rowsBetween(W.unboundedPreceding, -1))
-    marks = peaks.select(batch, (before - F.make_dt_interval(secs=F.lit(delay_seconds))).alias("watermark"))
-    return df.join(marks, batch).where(F.col(ts) < F.col("watermark"))
