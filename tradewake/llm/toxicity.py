@@ -8,6 +8,7 @@ second part turns negative, training steps back along it, so the classifier does
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
@@ -46,23 +47,24 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit(positive: list[set[str]], unlabelled: list[set[str]], prior: float, steps: int = 250, rate: float = 0.05, sparsity: float = 4e-4,
-        least_texts: int = 3) -> dict[str, float]:
+def fit(positive: Iterable[set[str]], unlabelled: Iterable[set[str]], prior: float, steps: int = 300, rate: float = 0.02,
+        sparsity: float = 1e-3, least_texts: int = 3) -> dict[str, float]:
     """Weights of features (the bias under the empty string) that minimise the non-negative risk with logistic loss.
 
     Features of fewer than ``least_texts`` training texts are left out; a soft threshold of ``sparsity`` per step keeps
-    the others at zero unless they matter. Without positive texts every score is the prior.
+    the others at zero unless they matter. Without positive or without unlabelled texts every score is the prior.
     """
     start = float(np.log(prior / (1 - prior)))
-    if not positive or not unlabelled:
+    number: dict[str, int] = {}
+    # one text's features at a time become numbers: a set of strings for every text would not fit
+    sides = [[np.array([number.setdefault(f, len(number)) for f in sorted(row)], np.int32) for row in rows] for rows in (positive, unlabelled)]
+    if not all(sides):
         return {"": start}
-    seen: dict[str, int] = {}
-    for row in (*positive, *unlabelled):
-        for f in row:
-            seen[f] = seen.get(f, 0) + 1
-    names = sorted(f for f, n in seen.items() if n >= least_texts)
-    at = {f: k for k, f in enumerate(names)}
-    p, u = (Sparse([np.array(sorted(at[f] for f in row if f in at), np.int64) for row in rows], len(names)) for rows in (positive, unlabelled))
+    seen = np.bincount(np.concatenate([r for side in sides for r in side]), minlength=len(number))
+    names = sorted(f for f, k in number.items() if seen[k] >= least_texts)
+    place = np.full(len(number), -1, np.int64)
+    place[[number[f] for f in names]] = np.arange(len(names))
+    p, u = (Sparse([x[x >= 0] for x in (place[r] for r in side)], len(names)) for side in sides)
     weights, bias = np.zeros(len(names)), start
     first, second, first_b, second_b = np.zeros(len(names)), np.zeros(len(names)), 0.0, 0.0
     for step in range(1, steps + 1):
@@ -91,7 +93,7 @@ def held_out(id_col: str) -> F.Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", classifiers: int = 3,
-          most_positive: int = 4000, most_unlabelled: int = 6000, prior: float | None = None) -> list[dict[str, float]]:
+          most_positive: int = 3000, most_unlabelled: int = 5000, prior: float | None = None) -> list[dict[str, float]]:
     """``classifiers`` classifiers, each fitted by one task on its own bounded sample.
 
     Labels come from rows that are not ``held_out``. P are texts labelled 1, U are texts of any label or none, both from
@@ -121,7 +123,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def one(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["positive", "id", "text"], kind="stable")
-        p, u = ([features(t) for t in frame.loc[frame["positive"] == side, "text"]] for side in (1, 0))
+        p, u = (map(features, frame.loc[frame["positive"] == side, "text"]) for side in (1, 0))
         weights = fit(p, u, prior)
         return pd.DataFrame({"classifier": frame["classifier"].iloc[0], "feature": list(weights), "weight": list(weights.values())})
 
