@@ -80,7 +80,7 @@ def from_epoch_any(n: Column | str) -> Column:
 
 def _exact(a: Column | str, b: Column | str) -> Column:
     """Quotient of counts or amounts as a decimal, so that ties round half up."""
-    return F.try_divide(col(a).cast("decimal(28,4)"), col(b).cast("decimal(20,2)"))
+    return F.try_divide(col(a).cast("decimal(24,4)"), col(b).cast("decimal(20,6)"))
 
 
 def ratio(a: Column | str, b: Column | str, digits: int | None = None) -> Column:
@@ -180,6 +180,7 @@ def activity_id(is_group_buy: Column | str, is_presale: Column | str, stage: Col
     )
 
 
+# The labels in the three functions below.
 def activity_name(is_group_buy: Column | str, is_presale: Column | str, stage: Column | str) -> Column:
     return (
         F.when(col(is_group_buy) == 1, "聚划算")

@@ -8,10 +8,20 @@ from pyspark.sql import functions as F
 from tradewake.functions import exprs as X
 
 
-def star(fact: DataFrame, dims: list[tuple[DataFrame, str]]) -> DataFrame:
-    """Fact INNER JOIN each (dim, key)."""
+SALTS = 32
+
+
+def spread(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join on a key of few values, each dealt out over SALTS tasks; the dim has a row per value and is repeated for each."""
+    plain = [c for c, kind in fact.dtypes if "map<" not in kind]
+    salted = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return fact.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(SALTS)).cast("int")).join(salted, [key, "_salt"], how).drop("_salt")
+
+
+def star(fact: DataFrame, dims: list[tuple[DataFrame, str]], few: tuple[str, ...] = ()) -> DataFrame:
+    """Fact INNER JOIN each (dim, key); keys named in ``few`` have few values and are spread."""
     for dim, key in dims:
-        fact = fact.join(dim, key)
+        fact = spread(fact, dim, key) if key in few else fact.join(dim, key)
     return fact
 
 
@@ -32,10 +42,7 @@ def payment_activity(payment: DataFrame, method: DataFrame, item: DataFrame, ord
     quantity = order_line.groupBy("order_id", "item_id").agg(F.sum("quantity").alias("quantity"))
     keyed = payment.withColumn("activity_id", X.activity_id("is_group_buy", "is_presale", "presale_stage"))
     return (
-        keyed.join(method, "payment_method")
-        .join(item, "item_id")
-        .join(quantity, ["order_id", "item_id"], "left")
-        .join(activity, "activity_id", "left")
+        spread(spread(keyed, method, "payment_method").join(item, "item_id").join(quantity, ["order_id", "item_id"], "left"), activity, "activity_id", "left")
         .withColumn("quantity", F.coalesce("quantity", F.lit(1)))
     )
 

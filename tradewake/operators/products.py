@@ -37,6 +37,7 @@ def _fixed(rate: Column) -> Column:
     return rate.cast(RATE)
 
 
+# The names of the measures.
 def product_days(visit: DataFrame, micro: DataFrame, stay: DataFrame, cart: DataFrame, order: DataFrame, pay: DataFrame,
                  as_of: str, days: int = 30) -> DataFrame:
     """Thirteen measures per product and day.

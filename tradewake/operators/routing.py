@@ -113,6 +113,7 @@ def actions(parsed: DataFrame) -> DataFrame:
 # ---- flattening ----------------------------------------------------------
 
 
+# Columns of the flat logs in the two functions below.
 def _common() -> list[Column]:
     names = {"ar": "area_code", "ba": "brand", "ch": "channel", "is_new": "is_new", "md": "model", "mid": "mid_id",
              "os": "os", "uid": "user_id", "vc": "version_code"}

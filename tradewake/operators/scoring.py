@@ -90,8 +90,12 @@ def diagnosis(evaluated: DataFrame, traffic: DataFrame, conversion: DataFrame, a
     )
 
 
-def grade_ranks(diagnosed: DataFrame) -> DataFrame:
-    """Position of each product inside its grade and day, best first, ties by product."""
+def grade_ranks(diagnosed: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Position of each product inside its grade and day, best first, ties by product; from day ``first`` to ``last``."""
+    if first is not None:
+        diagnosed = diagnosed.where(F.col("date_key") >= F.lit(first).cast("date"))
+    if last is not None:
+        diagnosed = diagnosed.where(F.col("date_key") <= F.lit(last).cast("date"))
     return numbered(diagnosed, ["grade", "date_key"], "total_score", 1.0, "product_id", 10_000, "rk")
 
 

@@ -2,7 +2,7 @@
 
 No join carries a broadcast hint: dimensions grow with the data, and the
 optimizer broadcasts a side only when its measured size is below the
-threshold. Hot keys are split by adaptive skew handling.
+threshold.
 """
 
 from __future__ import annotations
@@ -22,7 +22,10 @@ def look_up(df: DataFrame, dim: DataFrame, key: Column | str, dim_key: str, pref
     """Left join on a text key; blank or unmatched keys pass through with null dim fields."""
     side = prefixed(dim, prefix).withColumnRenamed(f"{prefix}{dim_key}", "_dim_key")
     value = X.col(key).cast("string")
-    usable = F.when(F.trim(value) != "", value)
+    # blank keys get values of their own that no dim has, so they do not meet in one task
+    plain = [c for c, kind in df.dtypes if "map<" not in kind]
+    blank = F.concat(F.lit("\u0000"), F.xxhash64(*plain).cast("string"))
+    usable = F.when(F.trim(value) != "", value).otherwise(blank)
     return df.withColumn("_key", usable).join(side, F.col("_key") == F.col("_dim_key").cast("string"), "left").drop(
         "_key", "_dim_key"
     )

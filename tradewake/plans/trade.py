@@ -358,7 +358,7 @@ DEVICE = "CASE WHEN terminal = 'PC' THEN 'PC' ELSE 'Mobile' END"
            i.category_id, CAST(i.price AS DOUBLE) AS price FROM visit v JOIN dim_item i ON v.product_id = i.item_id"""))
 def dwd_item_visit(t):
     fact = item_keyed(t.visit.drop("device_type")).withColumnRenamed("log_id", "visit_id")
-    return A.star(fact, [(t.dim_item.select("item_id", "category_id", "price"), "item_id"), (dim_terminal(t), "terminal")]).select(
+    return A.star(fact, [(t.dim_item.select("item_id", "category_id", "price"), "item_id"), (dim_terminal(t), "terminal")], few=("terminal",)).select(
         "visit_id", "user_id", "item_id", "date_key", "dwell_seconds", "terminal", c("device_type").alias("device"), "category_id", "price")
 
 
@@ -374,7 +374,7 @@ STAGE_NAME = "CASE presale_stage WHEN 'DEPOSIT' THEN '定金阶段' WHEN 'FINAL'
            i.category_id FROM payment p JOIN dim_item i ON p.product_id = i.item_id"""))
 def dwd_payment(t):
     fact = A.with_activity(item_keyed(t.payment))
-    return A.star(fact, [(dim_method(t), "payment_method"), (t.dim_item.select("item_id", "category_id"), "item_id")]).select(
+    return A.star(fact, [(dim_method(t), "payment_method"), (t.dim_item.select("item_id", "category_id"), "item_id")], few=("payment_method",)).select(
         "payment_id", "order_id", "item_id", "user_id", "date_key", "payment_amount", "payment_method", "method_name",
         "activity_id", "activity_name", "category_id")
 
@@ -407,7 +407,7 @@ def dwd_cart(t):
     SELECT f.log_id AS micro_id, f.user_id, f.product_id AS item_id, {DATE_KEY.format('f')}, f.duration_sec, f.terminal, {DEVICE} AS device_type,
            i.category_id FROM micro f JOIN dim_item i ON f.product_id = i.item_id"""))
 def dwd_micro(t):
-    return A.star(item_keyed(t.micro), [(t.dim_item.select("item_id", "category_id"), "item_id"), (dim_terminal(t), "terminal")]).select(
+    return A.star(item_keyed(t.micro), [(t.dim_item.select("item_id", "category_id"), "item_id"), (dim_terminal(t), "terminal")], few=("terminal",)).select(
         c("log_id").alias("micro_id"), "user_id", "item_id", "date_key", "duration_sec", "terminal", "device_type", "category_id")
 
 
