@@ -137,9 +137,25 @@ def test_new_flag_state(spark, frame, rows):
 
 def test_newer_only_state(spark, frame, rows):
     state.configure(spark, run_to_end=True)
-    df = frame([(0, 1, 5), (1, 1, 4), (1, 1, 9), (1, 2, 1)], "part int, user_id int, ts_ms bigint")
-    got = runner.to_table(state.newer_only(as_files(df, spark, 2), "user_id", "ts_ms"), "newer")
-    assert rows(got, "user_id", "ts_ms") == [(1, 5), (1, 9), (2, 1)]
+    df = frame([(0, 1, 5, 0), (1, 1, 7, 3), (1, 1, 4, 1), (1, 1, 9, 2), (1, 2, 1, 0), (1, 1, 11, 4)], "part int, user_id int, ts_ms bigint, position int")
+    got = runner.to_table(state.newer_only(as_files(df, spark, 2), "user_id", "ts_ms", ["position"]), "newer")
+    assert rows(got, "user_id", "ts_ms") == [(1, 11), (1, 5), (1, 9), (2, 1)]
+
+
+def test_state_takes_rows_in_order_however_they_are_cut(spark, frame, rows):
+    """One Arrow batch per row, and rows of a micro-batch in reverse."""
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        with state.running_to_end(spark):
+            money = frame([(0, "d", 3 - i, None if i % 2 else f"{i}.10") for i in range(4)], "part int, id string, seq bigint, m string")
+            money = money.withColumn("m", F.col("m").cast("decimal(18,2)"))
+            got = runner.to_table(state.merge_parts(as_files(money, spark, 1), "id", ["m"], "seq"), "cut")
+            assert [(r["seq"], str(r["m"])) for r in got.orderBy("seq").collect()] == [(0, "None"), (1, "2.10"), (2, "2.10"), (3, "0.10")]
+            newer = frame([(0, 1, 9 - i, 9 - i) for i in range(9)], "part int, user_id int, ts_ms bigint, position int")
+            assert runner.to_table(state.newer_only(as_files(newer, spark, 1), "user_id", "ts_ms", ["position"]), "cut").count() == 9
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
 
 
 def test_merge_state(spark, frame, rows):

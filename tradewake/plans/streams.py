@@ -8,8 +8,9 @@ from tradewake.operators import state_tables as ST
 from tradewake.plans.oracle import sql
 from tradewake.plans.registry import query
 from tradewake.plans.storage import streamed_log
+from tradewake.sources.tables import log_view
 from tradewake.streaming import dedup as U
-from tradewake.streaming import runner
+from tradewake.streaming import runner, state
 from tradewake.streaming import watermark as M
 
 c = F.col
@@ -26,11 +27,14 @@ def wm_bounded_s(t):
     return runner.to_table(counts.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("stt"), "topic", "n"), "wm")
 
 
-@query("fix_is_new", sql("""
+FIX_IS_NEW = sql("""
     SELECT l.event_id, l.mid, CASE WHEN new_flag = '1' AND CAST(l.ts AS DATE) <> f.day THEN '0' ELSE new_flag END AS is_new
     FROM n l JOIN (SELECT mid, CASE WHEN new_flag = '1' THEN CAST(ts AS DATE) ELSE CAST(ts AS DATE) - 1 END AS day
                    FROM (SELECT *, row_number() OVER (PARTITION BY mid ORDER BY ts, event_id) AS rn FROM n) WHERE rn = 1) f ON l.mid = f.mid""",
-    n="SELECT event_id, mid, ts, CASE WHEN k % 2 = 0 THEN '1' ELSE '0' END AS new_flag FROM log"))
+    n="SELECT event_id, mid, ts, CASE WHEN k % 2 = 0 THEN '1' ELSE '0' END AS new_flag FROM log")
+
+
+@query("fix_is_new", FIX_IS_NEW)
 def fix_is_new(t):
     rows = t.log.select("event_id", "mid", "ts", F.when(c("k") % 2 == 0, "1").otherwise("0").alias("is_new"))
     return U.repaired_new_flag(rows, "mid", "is_new", "ts", ["ts", "event_id"]).select("event_id", "mid", "is_new")
@@ -58,10 +62,13 @@ def order_merge_latest(t):
     return merged.select(c("order_detail_id").cast("bigint").alias("order_detail_id"), "seq", "event_type", "ts", "order_amount", "pay_amount", "refund_amount")
 
 
-@query("dedup_newer_ts", sql("""
+NEWER_TS = sql("""
     SELECT user_id, position, ts_ms FROM (
         SELECT *, max(ts_ms) OVER (PARTITION BY user_id ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
-        FROM (SELECT user_id, event_id AS position, epoch_us(ts) // 1000 + (event_id * 7919) % 400000000 AS ts_ms FROM log)) WHERE seen IS NULL OR ts_ms > seen"""))
+        FROM (SELECT user_id, event_id AS position, epoch_us(ts) // 1000 + (event_id * 7919) % 400000000 AS ts_ms FROM log)) WHERE seen IS NULL OR ts_ms > seen""")
+
+
+@query("dedup_newer_ts", NEWER_TS)
 def dedup_newer_ts(t):
     rows = t.log.select("user_id", c("event_id").alias("position"), (c("ts_ms") + (c("event_id") * 7919) % 400_000_000).alias("ts_ms"))
     return U.newer_only(rows, "user_id", "position", "ts_ms", span=2000)
@@ -81,3 +88,20 @@ def dedup_order_ts(t):
     SELECT user_id, event_id, ts_ms, 1::BIGINT AS uv FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts_ms, event_id) AS rn FROM log) WHERE rn = 1"""))
 def first_seen(t):
     return U.first_seen(t.log.select("user_id", "event_id", "ts_ms"), "user_id", ["ts_ms", "event_id"], "uv")
+
+
+# ---- the same jobs as streams with keyed state --------------------------------------
+
+
+@query("fix_is_new_s", FIX_IS_NEW)
+def fix_is_new_s(t):
+    rows = log_view(t.stream("events")).select("event_id", "mid", "ts", F.when(c("k") % 2 == 0, "1").otherwise("0").alias("is_new"))
+    with state.running_to_end(t.spark):
+        return runner.to_table(state.repair_new_flag(rows, order=["ts", "event_id"]), "new-flag").select("event_id", "mid", "is_new")
+
+
+@query("dedup_newer_ts_s", NEWER_TS)
+def dedup_newer_ts_s(t):
+    rows = log_view(t.stream("events")).select("user_id", c("event_id").alias("position"), (c("ts_ms") + (c("event_id") * 7919) % 400_000_000).alias("ts_ms"))
+    with state.running_to_end(t.spark):
+        return runner.to_table(state.newer_only(rows, "user_id", "ts_ms", ["position"]), "newer-ts")

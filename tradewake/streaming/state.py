@@ -1,13 +1,16 @@
 """Keyed state on streams: new-visitor repair, newest only, merge of partial rows, snapshot end.
 
-Each processor works through the rows of a key chunk by chunk, ordered by time
-inside a chunk, and keeps a few values per key. State expires by TTL, so the
-state store (RocksDB on a cluster) does not grow with history.
+Each processor works through the rows a key has in a micro-batch in order, so
+that the result does not depend on how a shuffle or Arrow cut them, and keeps a
+few values per key. A micro-batch is bounded by the reader's rows or files per
+trigger. State expires by TTL, so the state store (RocksDB on a cluster) does
+not grow with history.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import timedelta
 
 import pandas as pd
@@ -28,78 +31,93 @@ def configure(spark, run_to_end: bool = False) -> None:
     spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(not run_to_end).lower())
 
 
+@contextmanager
+def running_to_end(spark):
+    """The settings of ``configure`` for one query that ends with its input, taken back afterwards."""
+    names = ("spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.noDataMicroBatches.enabled")
+    before = {n: spark.conf.get(n, None) for n in names}
+    configure(spark, run_to_end=True)
+    try:
+        yield
+    finally:
+        for n, value in before.items():
+            spark.conf.unset(n) if value is None else spark.conf.set(n, value)
+
+
 def snapshot_only(changes: DataFrame) -> DataFrame:
     """Rows of the initial snapshot; changes after it leave."""
     return changes.where((F.col("op") == "r") | (F.col("source")["snapshot"] == "true"))
 
 
+def in_order(rows: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
+    """A key's rows of one micro-batch; rows equal in ``order`` are ordered by their other columns."""
+    pdf = pd.concat(list(rows), ignore_index=True)
+    return pdf.sort_values(order + [c for c in pdf.columns if c not in order], kind="stable", ignore_index=True)
+
+
 class NewFlagRepair(StatefulProcessor):
     """Clears ``is_new`` on days other than the remembered first day of the key."""
 
-    def __init__(self, flag: str, ts: str, ttl_ms: int):
-        self.flag, self.ts, self.ttl_ms = flag, ts, ttl_ms
+    def __init__(self, flag: str, order: list[str], ttl_ms: int):
+        self.flag, self.order, self.ts, self.ttl_ms = flag, order, order[0], ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.day = handle.getValueState("first_day", "day string", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for pdf in rows:
-            pdf = pdf.sort_values(self.ts, kind="stable").reset_index(drop=True)
-            days = pdf[self.ts].dt.strftime("%Y-%m-%d")
-            if not self.day.exists():
-                first = pdf[self.ts].iloc[0]
-                remembered = first if pdf[self.flag].iloc[0] == "1" else first - timedelta(days=1)
-                self.day.update((remembered.strftime("%Y-%m-%d"),))
-            pdf.loc[(pdf[self.flag] == "1") & (days != self.day.get()[0]), self.flag] = "0"
-            yield pdf
+        pdf = in_order(rows, self.order)
+        days = pdf[self.ts].dt.strftime("%Y-%m-%d")
+        if not self.day.exists():
+            first = pdf[self.ts].iloc[0]
+            remembered = first if pdf[self.flag].iloc[0] == "1" else first - timedelta(days=1)
+            self.day.update((remembered.strftime("%Y-%m-%d"),))
+        pdf.loc[(pdf[self.flag] == "1") & (days != self.day.get()[0]), self.flag] = "0"
+        yield pdf
 
 
 class NewerOnly(StatefulProcessor):
-    """Emits rows whose time is newer than anything the key has brought."""
+    """Emits rows whose time is newer than anything the key has brought, in the order of arrival."""
 
-    def __init__(self, ts: str, ttl_ms: int):
-        self.ts, self.ttl_ms = ts, ttl_ms
+    def __init__(self, ts: str, order: list[str], ttl_ms: int):
+        self.ts, self.order, self.ttl_ms = ts, order, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "ts bigint", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best = self.seen.get()[0] if self.seen.exists() else None
-        for pdf in rows:
-            earlier = pdf[self.ts].cummax().shift(fill_value=-1)
-            fresh = pdf[self.ts] > earlier
-            if best is not None:
-                fresh &= pdf[self.ts] > best
-            top = int(pdf[self.ts].max())
-            best = top if best is None else max(best, top)
-            yield pdf[fresh]
-        if best is not None:
-            self.seen.update((best,))
+        pdf = in_order(rows, self.order)
+        earlier = pdf[self.ts].cummax().shift()
+        fresh = earlier.isna() | (pdf[self.ts] > earlier)
+        top = int(pdf[self.ts].max())
+        if self.seen.exists():
+            best = self.seen.get()[0]
+            fresh &= pdf[self.ts] > best
+            top = max(best, top)
+        self.seen.update((top,))
+        yield pdf[fresh]
 
 
 class MergeParts(StatefulProcessor):
     """Completes every partial row with the last known value of each field."""
 
-    def __init__(self, fields: list[str], ts: str, ttl_ms: int):
-        self.fields, self.ts, self.ttl_ms = fields, ts, ttl_ms
+    def __init__(self, fields: dict[str, str], order: list[str], ttl_ms: int):
+        """``fields``: names with their types; money is best a decimal."""
+        self.fields, self.order, self.ttl_ms = fields, order, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = ", ".join(f"{f} double" for f in self.fields)
+        schema = ", ".join(f"{f} {kind}" for f, kind in self.fields.items())
         self.known = handle.getValueState("known", schema, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         known = list(self.known.get()) if self.known.exists() else [None] * len(self.fields)
-        for pdf in rows:
-            pdf = pdf.sort_values(self.ts, kind="stable").reset_index(drop=True)
-            filled = pdf[self.fields].ffill()
-            for i, f in enumerate(self.fields):
-                if known[i] is not None:
-                    filled[f] = filled[f].fillna(known[i])
-                tail = filled[f].iloc[-1]
-                known[i] = None if pd.isna(tail) else float(tail)
-            pdf[self.fields] = filled
-            yield pdf
+        pdf = in_order(rows, self.order)
+        for i, f in enumerate(self.fields):
+            filled = pdf[f].ffill()
+            pdf[f] = filled if known[i] is None else filled.where(filled.notna(), known[i])
+            tail = pdf[f].iloc[-1]
+            known[i] = None if pd.isna(tail) else tail.item() if hasattr(tail, "item") else tail
         self.known.update(tuple(known))
+        yield pdf
 
 
 class SnapshotGate(StatefulProcessor):
@@ -152,16 +170,19 @@ def _transform(df: DataFrame, key: str, processor: StatefulProcessor, schema: T.
     )
 
 
-def repair_new_flag(df: DataFrame, key: str = "mid", flag: str = "is_new", ts: str = "ts", ttl_ms: int = DAY_MS) -> DataFrame:
-    return _transform(df, key, NewFlagRepair(flag, ts, ttl_ms), df.schema)
+def repair_new_flag(df: DataFrame, key: str = "mid", flag: str = "is_new", ts: str = "ts", ttl_ms: int = DAY_MS, order: list[str] | None = None) -> DataFrame:
+    """``order``: time first, then what decides between equal times."""
+    return _transform(df, key, NewFlagRepair(flag, order or [ts], ttl_ms), df.schema)
 
 
-def newer_only(df: DataFrame, key: str, ts: str, ttl_ms: int = DAY_MS) -> DataFrame:
-    return _transform(df, key, NewerOnly(ts, ttl_ms), df.schema)
+def newer_only(df: DataFrame, key: str, ts: str, order: list[str], ttl_ms: int = DAY_MS) -> DataFrame:
+    """``order``: columns that tell the order of arrival inside a micro-batch, such as a position in a topic."""
+    return _transform(df, key, NewerOnly(ts, order, ttl_ms), df.schema)
 
 
-def merge_parts(df: DataFrame, key: str, fields: list[str], ts: str, ttl_ms: int = DAY_MS) -> DataFrame:
-    return _transform(df, key, MergeParts(fields, ts, ttl_ms), df.schema)
+def merge_parts(df: DataFrame, key: str, fields: list[str], ts: str, ttl_ms: int = DAY_MS, order: list[str] | None = None) -> DataFrame:
+    kinds = {f: df.schema[f].dataType.simpleString() for f in fields}
+    return _transform(df, key, MergeParts(kinds, order or [ts], ttl_ms), df.schema)
 
 
 def snapshot_gate(df: DataFrame, key: str, idle_ms: int = SNAPSHOT_IDLE_MS) -> DataFrame:
