@@ -5,9 +5,9 @@ sets that meet in a subset are linked, nothing is left to verify. For *large* se
 enters the lists of its rarest shingles only, so many that two similar sets must meet in one, and pairs found there are
 verified. The boundary is the one of least estimated cost, from the sizes of all sets and the average list length.
 
-Documents with equal sets are one class. Within a list every set is paired with the list's smallest set only; after
-these pairs are verified, lists whose sets are not yet all connected are paired in full, but only across components. That
-gives the components of all links without pairing a group of copies with itself.
+Documents with equal sets are one class, and lists with equal entries one list. Within a list every set is first paired
+with one hub only; after these pairs are verified, lists whose sets are not yet all connected are paired in full, but only
+across components. That gives the components of all links without pairing a group of copies with itself.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ from tradewake.llm.words import SHINGLE, WordHashes, mixed, shingle_set
 BUCKETS, BLOCK = 1 << 20, 1 << 14
 #: Lists that may be longer than this are dealt out over SALTS tasks.
 HEAVY, SALTS = 4096, 64
+#: Classes whose sets are verified against one another at once.
+SLOT = 128
 #: Rows that a task hands over at once.
 CHUNK = 1 << 17
 _OTHER = np.uint64(0xA0761D6478BD642F)
@@ -38,7 +40,7 @@ _OTHER = np.uint64(0xA0761D6478BD642F)
 
 class Join(NamedTuple):
     members: DataFrame  #: (id, n_shingles, class_id), a row for each document; class_id is null without words
-    links: DataFrame  #: (a, b) verified links of classes; their components are those of all links
+    links: DataFrame  #: (a, b) classes connected by verified links; their components are those of all links
 
 
 def class_of(shingles: np.ndarray) -> tuple[int, int]:
@@ -180,49 +182,40 @@ def _postings(shared, boundary: int, percent: int, size: int):
 
 
 def _scan(batches):
-    """Entries sorted by (token, salt, small, n, class_id) -> entries of lists that hold two classes or more (all of the
-    heavy ones), each with the list's first entry as its hub. Holds one entry and one hub between batches."""
+    """Entries sorted by (token, salt, small, class_id) -> each entry once, without lists of a single class (but with all
+    entries that are salted). Holds one entry between batches."""
     names = ["small", "token", "salt", "n", "class_id", "place"]
-    out_names = [*names, "hub", "hub_n", "hub_place"]
-    held = None  # columns of the last row, whether it starts a list, and its hub
+    held, starts_held = None, True
 
-    def emit(cols, keep, hub):
-        return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (*cols, *hub)], names=out_names)
+    def emit(cols, keep):
+        return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols], names=names)
 
     for batch in batches:
         cols = [batch.column(batch.schema.get_field_index(n)).to_numpy(zero_copy_only=False) for n in names]
         if not len(cols[0]):
             continue
         if held:
-            cols = [np.concatenate([h, c]) for h, c in zip(held[0], cols)]
-        small, token, salt, n, name, place = cols
+            cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
+        small, token, salt, _, name, _ = cols
         starts = np.ones(len(token), bool)
         starts[1:] = (token[1:] != token[:-1]) | (salt[1:] != salt[:-1]) | (small[1:] != small[:-1])
         same = np.zeros(len(token), bool)
         same[1:] = ~starts[1:] & (name[1:] == name[:-1])
-        if held:
-            starts[0] = held[1]
+        starts[0] = starts_held if held else True
         cols, starts = [c[~same] for c in cols], starts[~same]
-        small, token, salt, n, name, place = cols
-        at = np.maximum.accumulate(np.where(starts, np.arange(len(token)), -1))
-        hub = [c[np.maximum(at, 0)] for c in (name, n, place)]
-        if held and not held[1]:
-            for h, carried in zip(hub, held[2]):
-                h[at < 0] = carried
-        alone = np.zeros(len(token), bool)
-        alone[:-1] = starts[:-1] & starts[1:]
-        keep = ~alone | (salt > 0)
+        keep = np.ones(len(starts), bool)
+        keep[:-1] = ~(starts[:-1] & starts[1:]) | (cols[2][:-1] > 0)
         keep[-1] = False
         if keep.any():
-            yield emit(cols, keep, hub)
-        held = ([c[-1:] for c in cols], bool(starts[-1]), [h[-1] for h in hub])
-    if held and (not held[1] or held[0][2][0] > 0):
-        yield emit(held[0], np.ones(1, bool), [np.array([h]) for h in held[2]])
+            yield emit(cols, keep)
+        held, starts_held = [c[-1:] for c in cols], bool(starts[-1])
+    if held and (not starts_held or held[2][0] > 0):
+        yield emit(held, np.ones(1, bool))
 
 
 def _sets(spark: SparkSession, texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(class_id, set) of the wanted (class_id, id) rows. A Bloom filter of fixed size keeps other texts out early."""
-    bits = spark.sparkContext.broadcast(bloom.build(wanted.select("id")))
+    """(class_id, id, set) of texts that have a wanted id; a Bloom filter of fixed size lets few others through."""
+    bits = spark.sparkContext.broadcast(bloom.build(wanted))
 
     def run(batches):
         known = WordHashes()
@@ -237,19 +230,84 @@ def _sets(spark: SparkSession, texts: DataFrame, wanted: DataFrame, size: int) -
                     lists([s.view(np.int64) for _, s in part], pa.int64()),
                 ], names=["class_id", "id", "set"])
 
-    rows = texts.mapInArrow(run, "class_id long, id long, set array<long>")
-    return store(rows.join(wanted, ["class_id", "id"]).dropDuplicates(["class_id"]).select("class_id", "set"), "join-sets")
+    return texts.mapInArrow(run, "class_id long, id long, set array<long>")
+
+
+def _similar(percent: int):
+    """Rows of a key side by side, sets (class_id, set) before pairs (class_id, other) -> similar pairs (a, b).
+
+    Pairs that links of the same key already connect are left out. Holds the sets of one key, SLOT of either side.
+    """
+
+    def run(batches):
+        key, sets, root, out = None, {}, {}, []
+
+        def find(x):
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        for batch in batches:
+            values = batch.column(4).values.to_numpy(zero_copy_only=False)
+            offsets = batch.column(4).offsets.to_numpy()
+            rows = zip(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            for k, (at, name, other) in enumerate(rows):
+                if at != key:
+                    key, sets, root = at, {}, {}
+                if other is None:
+                    sets[name] = values[offsets[k] : offsets[k + 1]].copy()
+                    continue
+                a, b = find(name), find(other)
+                if a != b:
+                    x, y = sets[name], sets[other]
+                    shared = len(np.intersect1d(x, y, assume_unique=True))
+                    if 100 * shared >= percent * (len(x) + len(y) - shared):
+                        root[max(a, b)] = min(a, b)
+                        out.append((name, other))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
+                out = []
+
+    return run
+
+
+def _slots(entries: DataFrame) -> DataFrame:
+    """(class_id, slot): classes with the same usual hub dealt out over slots of about SLOT classes."""
+    home = entries.groupBy("class_id").agg(F.mode("hub", True).alias("home"))
+    many = home.groupBy("home").agg(F.ceil(F.count("*") / SLOT).alias("slots"))
+    return home.join(many, "home").select("class_id", F.xxhash64("home", F.pmod(F.xxhash64("class_id"), F.col("slots"))).alias("slot"))
 
 
-def _verified(spark, texts, classes, pairs: DataFrame, percent: int, size: int) -> DataFrame:
-    """The pairs (a, b) of classes whose whole sets are similar enough."""
-    pairs = store(pairs, "join-pairs")
-    wanted = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct().join(classes, "class_id").select("class_id", "id")
-    sets = _sets(spark, texts, store(wanted, "join-wanted"), size)
-    both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    similar = 100 * shared >= percent * (F.size("set_a") + F.size("set_b") - shared)
-    return store(both.where(similar).select("a", "b"), "join-links")
+def _plausible(pairs: DataFrame, large: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that meet in enough lists.
+
+    If two sets share ``need`` shingles, the first of them, need - ceil(percent * larger / 100) + 1, are among the rarest
+    shingles of both, so the two must meet in that many lists. A list stands for as many as have its entries.
+    """
+    entry = large.select("class_id", "token", "n", "weight")
+    both = pairs.join(entry.toDF("a", "token", "na", "weight"), "a").join(entry.select("class_id", "token", "n").toDF("b", "token", "nb"), ["b", "token"])
+    met = both.groupBy("a", "b").agg(F.sum("weight").alias("met"), F.max("na").cast("long").alias("na"), F.max("nb").cast("long").alias("nb"))
+    least = F.ceil((percent * (F.col("na") + F.col("nb"))) / F.lit(100 + percent)) - F.ceil(percent * F.greatest("na", "nb") / F.lit(100)) + 1
+    return met.where(F.col("met") >= least).select("a", "b")
+
+
+def _verified(spark, texts, classes, large: DataFrame, slots: DataFrame, pairs: DataFrame, percent: int, size: int) -> DataFrame:
+    """Links among the pairs (a, b) of classes, decided on whole sets, that connect all similar pairs.
+
+    A set goes once to each pair of slots in which it has a pair, not once to each pair.
+    """
+    slot = slots.toDF("class_id", "slot")
+    pairs = _plausible(pairs, large, percent)
+    keyed = pairs.join(slot.toDF("a", "sa"), "a").join(slot.toDF("b", "sb"), "b")
+    keyed = store(keyed.select(F.least("sa", "sb").alias("k1"), F.greatest("sa", "sb").alias("k2"), "a", "b"), "join-pairs")
+    ends = keyed.select("k1", "k2", F.col("a").alias("class_id")).union(keyed.select("k1", "k2", "b")).distinct()
+    ends = store(ends.join(classes.select("class_id", "id"), "class_id"), "join-ends")
+    sets = _sets(spark, texts, ends.select("id").distinct(), size)
+    none = F.lit(None)
+    left = ends.join(sets, ["class_id", "id"]).select("k1", "k2", "class_id", none.cast("long").alias("other"), "set")
+    right = keyed.select("k1", "k2", F.col("a").alias("class_id"), F.col("b").alias("other"), none.cast("array<long>").alias("set"))
+    rows = left.union(right).repartition("k1", "k2").sortWithinPartitions("k1", "k2", F.col("other").asc_nulls_first(), "class_id")
+    return store(rows.mapInArrow(_similar(percent), "a long, b long"), "join-links")
 
 
 def _may_link(n, place, m, other, boundary: int, percent: int) -> F.Column:
@@ -262,6 +320,21 @@ def _may_link(n, place, m, other, boundary: int, percent: int) -> F.Column:
     )
 
 
+def _distinct_lists(entries: DataFrame) -> DataFrame:
+    """(token, class_id, n, place, weight, share) without lists that hold the same classes as the list of a rarer shingle, since
+    two sets are paired in the list of the rarest shingle they share. weight: how many lists hold these classes. share: the part of a set's shingles in any list.
+
+    A set with few shingles of its own, such as the original of edited copies, has the largest share: it is the hub that
+    most of a list is similar to.
+    """
+    share = entries.groupBy("class_id").agg((F.count("*") / F.max("n")).alias("share"))
+    ends = entries.groupBy("token").agg(
+        F.count("*").alias("k"), F.bit_xor(F.xxhash64("class_id")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "class_id")).alias("h2"),
+        F.min(F.struct("class_id", "place")).alias("one"))
+    kept = ends.where("k > 1").groupBy("k", "h1", "h2").agg(F.min(F.struct("one.place", "token")).alias("first"), F.count("*").alias("weight")).select("first.token", "weight")
+    return entries.join(kept, "token").join(share, "class_id").select("token", "class_id", "n", "place", "weight", "share")
+
+
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, size: int = SHINGLE) -> Join:
     """Links documents when 100 * shared shingles >= percent * all shingles of the two.
 
@@ -284,37 +357,41 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     entries = texts.where("id IS NOT NULL").mapInArrow(
         _postings(spark.sparkContext.broadcast(levels), boundary, percent, size),
         "small boolean, token long, salt int, n int, class_id long, place int")
-    found = (
-        entries.repartition("token", "salt").sortWithinPartitions("token", "salt", "small", "n", "class_id")
-        .mapInArrow(_scan, "small boolean, token long, salt int, n int, class_id long, place int, hub long, hub_n int, hub_place int")
+    schema = "small boolean, token long, salt int, n int, class_id long, place int"
+    found = entries.repartition("token", "salt").sortWithinPartitions("token", "salt", "small", "class_id").mapInArrow(_scan, schema)
+    found = store(found.drop("salt"), "join-lists")
+
+    # small sets: all that meet in a subset are linked with the smallest, or with none
+    small = found.where("small")
+    least = small.groupBy("token").agg(F.min(F.struct("n", "class_id")).alias("least"))
+    links = (
+        small.join(least, "token").where("class_id != least.class_id")
+        .where((100 + percent) * F.col("place") >= percent * (F.col("n") + F.col("least.n"))).selectExpr("least.class_id AS a", "class_id AS b").distinct()
     )
-    found = store(found, "join-lists")
-    near = found.where("class_id != hub")
-    links = near.where(F.col("small") & ((100 + percent) * F.col("place") >= percent * (F.col("n") + F.col("hub_n")))).selectExpr("hub AS a", "class_id AS b")
-
-    large = found.where("NOT small")
-    heads = large.where("salt > 0 AND class_id = hub").select("token", "n", "class_id", "place")
-    first = heads.groupBy("token").agg(F.min(F.struct("n", "class_id", "place")).alias("top"))
-    between = heads.join(first, "token").selectExpr("class_id", "n", "place", "top.class_id AS hub", "top.n AS hub_n", "top.place AS hub_place")
+
+    large = store(_distinct_lists(found.where("NOT small")), "join-large")
+    top = large.groupBy("token").agg(F.max(F.struct("share", "class_id", "n", "place")).alias("top"))
+    top = top.selectExpr("token", "top.class_id AS hub", "top.n AS hub_n", "top.place AS hub_place")
+    large = store(large.drop("share").join(top, "token"), "join-hubs")
+    slots = store(_slots(large), "join-slots")
     pairs = (
-        near.where("NOT small").select(*between.columns).union(between.where("class_id != hub"))
-        .where(_may_link("n", "place", "hub_n", "hub_place", boundary, percent))
+        large.where("class_id != hub").where(_may_link("n", "place", "hub_n", "hub_place", boundary, percent))
         .selectExpr("least(class_id, hub) AS a", "greatest(class_id, hub) AS b").distinct()
     )
-    links = store(links.distinct().union(_verified(spark, texts, classes, pairs, percent, size)), "join-star-links")
+    links = store(links.union(_verified(spark, texts, classes, large, slots, pairs, percent, size)), "join-star-links")
 
     label = store(components(links), "join-first")
     placed = large.select("token", "class_id", "n", "place", "hub").join(label.toDF("class_id", "label"), "class_id", "left")
     placed = store(placed.withColumn("label", F.coalesce("label", "class_id")), "join-placed")
     mixed_lists = placed.groupBy("token").agg(F.count("*").alias("k"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("k > 2 AND lo != hi")
-    open_lists = placed.join(mixed_lists.select("token"), "token")
-    open_lists = store(open_lists, "join-open")
-    x, y = open_lists.alias("x"), open_lists.selectExpr("token", "class_id AS c2", "n AS n2", "place AS p2", "hub AS h2", "label AS l2")
+    x = store(placed.join(mixed_lists.select("token"), "token").where("class_id != hub"), "join-open")
+    y = x.selectExpr("token", "class_id AS c2", "n AS n2", "place AS p2", "label AS l2")
     across = (
-        x.join(y, "token").where("class_id < c2 AND label != l2 AND class_id != h2 AND c2 != hub")
+        x.join(y, "token").where("class_id < c2 AND label != l2")
         .where(_may_link("n", "place", "n2", "p2", boundary, percent)).selectExpr("class_id AS a", "c2 AS b").distinct()
     )
-    links = store(links.union(_verified(spark, texts, classes, across, percent, size)), "join-all-links")
+    # the components so far stand for the links that made them
+    links = store(label.where("node != component").toDF("a", "b").union(_verified(spark, texts, classes, large, slots, across, percent, size)), "join-all-links")
     return Join(rows.select("id", F.col("n").alias("n_shingles"), "class_id"), links)
 
 
