@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewake.session import fresh_path, store
 
-__all__ = ["column", "fresh_path", "lists", "remove", "store"]
+__all__ = ["column", "fresh_path", "gathered", "lists", "remove", "store"]
 
 
 def column(name: str) -> F.Column:
@@ -24,6 +24,13 @@ def remove(df_path: str, spark) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs ``flat[start:start + size]`` one after another."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
+
+
 def lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     """One Arrow list per numpy array, without a Python object per value."""
     offsets = np.zeros(len(parts) + 1, np.int32)

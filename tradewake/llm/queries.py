@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewake.llm import decontaminate, html_text, licenses, line_dedup, lm_score, near_vectors, packing, sharding, shingle_join, toxicity
+from tradewake.llm import byte_bpe, decontaminate, html_text, licenses, line_dedup, lm_score, near_vectors, packing, sharding, shingle_join, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -174,3 +174,13 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_near_vectors")
 def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_groups(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.95).withColumnRenamed("id", "vec_id")
+
+
+@query("op11_byte_bpe")
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks="byte_bpe_multi_50k.tiktoken")
+    both = byte_bpe.decode(encoded.select("doc_id", "ids"), ranks="byte_bpe_multi_50k.tiktoken")
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
