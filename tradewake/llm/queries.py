@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewake.llm import byte_bpe, decontaminate, html_text, licenses, line_dedup, lm_score, near_vectors, packing, sharding, shingle_join, toxicity
+from tradewake.llm import byte_bpe, decontaminate, html_text, licenses, line_dedup, lm_score, near_vectors, packing, sharding, shingle_join, source_divergence, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -184,3 +184,28 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+#: DuckDB: the share p of a count among ``total`` occurrences of ``v`` kept terms.
+SQL_SHARE = "(1 + (1000000000::HUGEINT * ({n} + 1)) // ({total} + v))"
+
+
+@query("op12_source_divergence", rf"""
+WITH t AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS item FROM documents),
+kept AS (SELECT lang, item, count(*)::HUGEINT AS lang_n FROM t GROUP BY lang, item HAVING count(DISTINCT id) >= 3),
+langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(lang_n)::HUGEINT AS lang_total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+counts AS (SELECT lang, source, item, count(*)::HUGEINT AS n FROM t SEMI JOIN kept USING (lang, item) GROUP BY lang, source, item),
+every AS (SELECT lang, source, item, lang_n, coalesce(n, 0) AS n, v, lang_total, sum(coalesce(n, 0)) OVER (PARTITION BY lang, source)::HUGEINT AS total
+          FROM groups JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN counts USING (lang, source, item)),
+shares AS (SELECT lang, source, item, n, {SQL_SHARE.format(n="n", total="total")} AS p, {SQL_SHARE.format(n="lang_n", total="lang_total")} AS q FROM every),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+         FROM shares a JOIN shares b ON b.lang = a.lang AND b.item = a.item AND b.source <> a.source GROUP BY ALL),
+parts AS (
+  SELECT lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b USING (lang) LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source WHERE a.source <> b.source
+  UNION ALL SELECT lang, source, 'term', item, ((p - q) * (p - q) // q)::BIGINT FROM shares WHERE n > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM parts QUALIFY part = 'pair' OR rank <= 200""")
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"), min_docs=3, top=200)
