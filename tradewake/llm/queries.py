@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewake.llm import byte_bpe, decontaminate, html_text, licenses, line_dedup, lm_score, near_vectors, packing, sharding, shingle_join, source_divergence, toxicity
+from tradewake.llm import byte_bpe, cross_tokenizer, decontaminate, html_text, licenses, line_dedup, lm_score, near_vectors, packing, sharding, shingle_join, source_divergence, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -209,3 +209,11 @@ parts AS (
 SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM parts QUALIFY part = 'pair' OR rank <= 200""")
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit(table(spark, sf_dir, "documents"), min_docs=3, top=200)
+
+
+@query("op13_cross_tokenizer")
+def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = cross_tokenizer.align(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model")
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    scored = cross_tokenizer.support(aligned.select("doc_id", "n_a", "n_b", "n_groups", digest.alias("groups_sha256"), "links"))
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
