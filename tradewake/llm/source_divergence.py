@@ -22,13 +22,13 @@ from pyspark.sql import functions as F
 
 from tradewake.llm import bloom
 from tradewake.llm.byte_bpe import pieces_of
-from tradewake.llm.frames import column, store
+from tradewake.llm.frames import column, gathered, store
 from tradewake.llm.perfect_hash import PerfectHash
 
 #: Slots and bytes of a term that are broadcast at most; terms of a shard; terms and sources of a block of pairs.
 SLOTS, TERM_BYTES, SHARD, BLOCK, TILE = 1 << 19, 64, 1 << 15, 1 << 12, 128
 #: Distinct terms that a task counts, dense slots it holds, and bytes of text it handles at a time.
-DISTINCT, DENSE, CHUNK = 200_000, 1 << 23, 1 << 22
+DISTINCT, DENSE, CHUNK = 200_000, 3 << 22, 1 << 22
 #: ASCII letters lower-cased, other ASCII to spaces.
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 PARTIAL = "lang string, source string, term string, n long, head boolean"
@@ -95,7 +95,7 @@ class Shards:
         self.base = np.cumsum([0, *map(len, sizes)])
         every = np.concatenate([np.zeros(0, np.int64), *sizes])
         ends = np.cumsum(every)
-        self.starts, self.ends, self.flat = (ends - every).tolist(), ends.tolist(), b"".join(bytes(r["flat"]) for r in rows)
+        self.starts, self.sizes, self.flat = ends - every, every, np.frombuffer(b"".join(bytes(r["flat"]) for r in rows), np.uint8)
         number = {lang: k for k, lang in enumerate(sorted({lang for r in rows for lang in r["langs"]}))}
         of = [np.array([number[x] for x in r["langs"]], np.int64)[np.frombuffer(r["lang_of"], "<i4")] for r in rows if r["langs"]]
         self.lang_of = np.concatenate([np.zeros(0, np.int64), *of])
@@ -106,8 +106,18 @@ class Shards:
         self.slots_of = {lang: by_lang[self.lang_of[by_lang] == k] for lang, k in number.items()}
         self.number = number
 
-    def term(self, slot: int) -> bytes:
-        return self.flat[self.starts[slot] : self.ends[slot]]
+    def terms(self, slots: np.ndarray) -> pa.Array:
+        ends = np.concatenate(([0], np.cumsum(self.sizes[slots]))).astype(np.int32)
+        return pa.StringArray.from_buffers(len(slots), pa.py_buffer(ends), pa.py_buffer(gathered(self.flat, self.starts[slots], self.sizes[slots])))
+
+    def _same(self, slots: np.ndarray, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether the stored term of each slot has the bytes ``flat[start:start + size]``."""
+        out = self.sizes[slots] == sizes
+        at = np.flatnonzero(out)
+        size = sizes[at]
+        differs = gathered(self.flat, self.starts[slots[at]], size) != gathered(flat, starts[at], size)
+        out[at[np.repeat(np.arange(len(at)), size)[differs]]] = False
+        return out
 
     def find(self, lang: str, words: list[bytes], keys: np.ndarray) -> np.ndarray:
         """Local numbers of the words, -1 for those that are not stored."""
@@ -115,12 +125,16 @@ class Shards:
         if own is None:
             return out
         part = keys % np.uint64(len(self.hashes))
+        slot = np.full(len(words), -1, np.int64)
         for k, made in enumerate(self.hashes):
             at = np.flatnonzero(part == k)
-            slot = made.slots(keys[at])
-            at, slot = at[slot >= 0], slot[slot >= 0] + self.base[k]
-            same = [self.lang_of[s] == own and self.term(s) == words[i] for i, s in zip(at.tolist(), slot.tolist())]
-            out[at[same]] = self.local[slot[same]]
+            got = made.slots(keys[at])
+            slot[at] = np.where(got < 0, -1, got + self.base[k])
+        at = np.flatnonzero(slot >= 0)
+        at = at[self.lang_of[slot[at]] == own]
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        same = self._same(slot[at], np.frombuffer(b"".join(words), np.uint8), (np.cumsum(sizes) - sizes)[at], sizes[at])
+        out[at[same]] = self.local[slot[at[same]]]
         return out
 
 
@@ -143,19 +157,20 @@ def recount(docs: DataFrame, shards, bits) -> DataFrame:
     def run(batches):
         held, known = loaded(name, shards), defaultdict(_Known)
         dense: dict[tuple, np.ndarray] = {}
+        counted = 0  # what a slot can hold at most is handed over before it is full
         other: dict[tuple, Counter] = defaultdict(Counter)
 
         def rows(key, words, counts, head):
-            lang, source = (pa.array([k] * len(words), pa.string()) for k in key)
-            cols = [lang, source, pa.array(words, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array([head] * len(words), pa.bool_())]
+            lang, source = (pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(words), np.int8)), [k]).cast(pa.string()) for k in key)
+            cols = [lang, source, words, pa.array(counts, pa.int64()), pa.array(np.full(len(words), head))]
             return pa.RecordBatch.from_arrays(cols, names=["lang", "source", "term", "n", "head"])
 
         def flush():
             for key, counts in dense.items():
                 at = np.flatnonzero(counts)
-                yield rows(key, [held.term(s) for s in held.slots_of[key[0]][at].tolist()], counts[at], True)
+                yield rows(key, held.terms(held.slots_of[key[0]][at]), counts[at], True)
             for key, counts in other.items():
-                yield rows(key, list(counts), list(counts.values()), False)
+                yield rows(key, pa.array(list(counts), pa.binary()).cast(pa.string()), list(counts.values()), False)
             dense.clear()
             other.clear()
 
@@ -170,12 +185,14 @@ def recount(docs: DataFrame, shards, bits) -> DataFrame:
                     slots = np.fromiter(map(memo.__getitem__, got), np.int64, len(got))
                     if (slots >= 0).any():
                         if key not in dense:
-                            dense[key] = np.zeros(len(held.slots_of[key[0]]), np.int64)
+                            dense[key] = np.zeros(len(held.slots_of[key[0]]), np.int32)
                         np.add.at(dense[key], slots[slots >= 0], 1)
+                        counted += len(slots)
                     if (slots == -2).any():
                         other[key].update([got[k] for k in np.flatnonzero(slots == -2).tolist()])
-                    if sum(map(len, dense.values())) > DENSE or sum(map(len, other.values())) > DISTINCT:
+                    if sum(map(len, dense.values())) > DENSE or sum(map(len, other.values())) > DISTINCT or counted > 1 << 30:
                         yield from flush()
+                        counted = 0
                 if sum(map(len, known.values())) > 2 * DISTINCT:
                     known.clear()
         yield from flush()
