@@ -9,6 +9,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
@@ -90,6 +91,8 @@ def test_frames(spark, block):
     rows = [(k if k else None, t, "keep", -1) for k, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, other string, n_best int").repartition(3)
     got = cross_tokenizer.support(cross_tokenizer.align(docs), block=block)
+    once = cross_tokenizer.alignment(docs, digest=str.upper, block=block)
+    assert once.columns == got.columns and sorted(once.collect(), key=str) == sorted(got.withColumn("groups", F.upper("groups")).collect(), key=str)
     assert got.columns == ["doc_id", "other", "n_a", "n_b", "n_groups", "groups", "n_links", "n_best", "count_sum"]
     found = {r["doc_id"]: r for r in got.collect()}
     assert len(found) == len(texts)

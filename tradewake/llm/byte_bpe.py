@@ -72,12 +72,16 @@ class PairTable:
             place[todo] = (place[todo] + np.uint64(1)) & self.mask
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as file:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+
+
 class Vocabulary:
     """Tokens by id, ids of bytes, and the table of pairs that merge."""
 
     def __init__(self, path: str):
-        with open(path, "rb") as file:
-            self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+        self.ranks = read_ranks(path)
         tokens = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             tokens[rank] = token

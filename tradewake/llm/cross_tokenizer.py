@@ -11,9 +11,11 @@ the pairs of all blocks are counted by a shuffle, and every block gets back the
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from tradewake.llm.byte_bpe import pieces_of, vocabulary
+from tradewake.llm.byte_bpe import pieces_of, read_ranks
 from tradewake.llm.frames import lists, store
 
 #: Bytes of text that a task aligns at a time, and links of a block of documents.
@@ -37,7 +39,7 @@ class Sides:
         import sentencepiece
         import tiktoken
 
-        ranks = vocabulary(a_name).ranks
+        ranks = read_ranks(public_tokenizers.path(a_name))
         self.a = tiktoken.Encoding(a_name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(b_name))
         self.a_bytes = [b""] * (max(ranks.values()) + 1)
@@ -80,7 +82,9 @@ def cut(a_ends: list[int], b_ends: list[int]) -> tuple[np.ndarray, np.ndarray]:
 
 def linked(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Indices (A, B) of the overlapping tokens of all slices: one link for each stretch between neighbouring ends of either."""
-    ends = np.union1d(a_ends, b_ends)
+    ends = np.concatenate((a_ends, b_ends))
+    ends.sort(kind="stable")  # two rising runs
+    ends = ends[np.diff(ends, prepend=-1) > 0]
     return np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
 
 
@@ -110,28 +114,35 @@ def aligned_texts(texts: list[str], both: Sides) -> tuple[np.ndarray, np.ndarray
     return n_a, n_b, n_groups, groups, np.split(links, per_text[:-1])
 
 
-def align(docs: DataFrame, text_col: str = "text", a_name: str = "byte_bpe_50k.tiktoken", b_name: str = "piece_bpe_32k.model") -> DataFrame:
-    """``docs`` with n_a, n_b (tokens), n_groups, groups and links in place of the text and of columns so named.
-
-    ``groups`` reads ``a1,a2|b1;a3|b2,b3``: decimal A and B ids of each group in order. ``links`` has A id << 32 | B id for
-    every pair of tokens whose bytes overlap, in order. A null or empty text, or one whose bytes do not come back from
-    both sides, has no tokens: zeros, '' and no links. Special tokens are plain text. Rows are aligned where they are read;
-    repeated rows get the same result, an empty table an empty one. A task's memory follows its longest text.
-    """
-    gone = {text_col.lower(), *ALIGNED}
-    schema = StructType([f for f in docs.schema.fields if f.name.lower() not in gone] + [StructField(k, t) for k, t in ALIGNED.items()])
-
+def _aligner(schema: StructType, text_col: str, a_name: str, b_name: str, digest: Callable[[str], str] | None):
     def run(batches):
         both = sides(a_name, b_name)
         for batch in batches:
             sizes = pc.binary_length(batch.column(text_col)).fill_null(0).to_numpy(zero_copy_only=False)
             for part in pieces_of(batch, sizes, CHUNK):
                 n_a, n_b, n_groups, groups, links = aligned_texts([t or "" for t in part.column(text_col).to_pylist()], both)
-                new = [*(pa.array(x, pa.int64()) for x in (n_a, n_b, n_groups)), pa.array(groups, pa.string()), lists(links, pa.int64())]
+                new = [*(pa.array(x, pa.int64()) for x in (n_a, n_b, n_groups)), pa.array(list(map(digest, groups)) if digest else groups, pa.string()), lists(links, pa.int64())]
                 old = [part.column(f.name) for f in schema.fields[: -len(ALIGNED)]]
                 yield pa.RecordBatch.from_arrays(old + new, names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return run
+
+
+def _aligned_schema(docs: DataFrame, text_col: str) -> StructType:
+    gone = {text_col.lower(), *ALIGNED}
+    return StructType([f for f in docs.schema.fields if f.name.lower() not in gone] + [StructField(k, t) for k, t in ALIGNED.items()])
+
+
+def align(docs: DataFrame, text_col: str = "text", a_name: str = "byte_bpe_50k.tiktoken", b_name: str = "piece_bpe_32k.model") -> DataFrame:
+    """``docs`` with n_a, n_b (tokens), n_groups, groups and links in place of the text and of columns so named.
+
+    ``groups`` reads ``a1,a2|b1;a3|b2,b3``: decimal A and B ids of each group in order. ``links`` has A id << 32 | B id for
+    every pair of tokens whose bytes overlap, in order. A null or empty text, or one whose bytes do not come back from
+    both sides, has no tokens: zeros, '' and no links. Special tokens are plain text. Rows are aligned where they are read;
+    repeated rows get the same result, an empty table an empty one. A task's memory follows its longest text.
+    """
+    schema = _aligned_schema(docs, text_col)
+    return docs.mapInArrow(_aligner(schema, text_col, a_name, b_name, None), schema)
 
 
 def _numbered(links_col: str, schema: StructType, most: int):
@@ -145,7 +156,7 @@ def _numbered(links_col: str, schema: StructType, most: int):
             table = pa.Table.from_batches(held).combine_chunks()
             col = table.column(links_col)
             many = pc.fill_null(pc.list_value_length(col), 0).to_numpy().astype(np.int64)
-            pairs, number = np.unique(pc.list_flatten(col).to_numpy(), return_inverse=True)
+            number, pairs = pd.factorize(pc.list_flatten(col).to_numpy())
             doc = np.repeat(np.arange(len(many)), many)
             key, times = np.unique(doc * max(1, len(pairs)) + number, return_counts=True)
             doc, number = key // max(1, len(pairs)), key % max(1, len(pairs))
@@ -174,6 +185,15 @@ def _numbered(links_col: str, schema: StructType, most: int):
     return run
 
 
+ADDED = {"n_links": LongType(), "n_best": LongType(), "count_sum": LongType()}
+INNER = {"_block": LongType(), "_steps": ArrayType(IntegerType()), "_times": ArrayType(IntegerType()), "_pairs": ArrayType(LongType()), "_holders": ArrayType(LongType())}
+
+
+def _numbered_schema(schema: StructType, links_col: str) -> StructType:
+    own = [StructField(f.name, f.dataType) for f in schema.fields if f.name.lower() not in {links_col.lower(), *ADDED}]
+    return StructType(own + [StructField(k, t) for k, t in INNER.items()])
+
+
 def support(aligned: DataFrame, links_col: str = "links", block: int = BLOCK) -> DataFrame:
     """``aligned`` without its links, with n_links, n_best and count_sum.
 
@@ -182,12 +202,26 @@ def support(aligned: DataFrame, links_col: str = "links", block: int = BLOCK) ->
     each time. Rows without links (empty or null) have zeros. Each row counts as a document, repeated ones too. Columns
     named n_links, n_best or count_sum are replaced.
     """
-    added = {"n_links": LongType(), "n_best": LongType(), "count_sum": LongType()}
-    own = [f for f in aligned.schema.fields if f.name.lower() not in {links_col.lower(), *added}]
-    inner = ["_block", "_steps", "_times", "_pairs", "_holders"]
-    kinds = [LongType(), ArrayType(IntegerType()), ArrayType(IntegerType()), ArrayType(LongType()), ArrayType(LongType())]
-    nullable = [StructField(f.name, f.dataType) for f in own]
-    numbered = store(aligned.mapInArrow(_numbered(links_col, s := StructType(nullable + list(map(StructField, inner, kinds))), block), s), "alignment-blocks")
+    schema = _numbered_schema(aligned.schema, links_col)
+    return _scored(aligned.mapInArrow(_numbered(links_col, schema, block), schema))
+
+
+def alignment(docs: DataFrame, text_col: str = "text", a_name: str = "byte_bpe_50k.tiktoken", b_name: str = "piece_bpe_32k.model",
+              digest: Callable[[str], str] | None = None, block: int = BLOCK) -> DataFrame:
+    """``support(align(docs))`` in one pass over the texts: links go into their block where they are found.
+
+    ``digest`` is applied to every ``groups`` text, which is several times as long as the text itself, before anything is stored.
+    """
+    aligned = _aligned_schema(docs, text_col)
+    schema = _numbered_schema(aligned, "links")
+    align_, number = _aligner(aligned, text_col, a_name, b_name, digest), _numbered("links", schema, block)
+    return _scored(docs.mapInArrow(lambda batches: number(align_(batches)), schema))
+
+
+def _scored(numbered: DataFrame) -> DataFrame:
+    """Counts the pairs of all blocks and sums them up for the rows of each block."""
+    own = numbered.schema.fields[: -len(INNER)]
+    numbered = store(numbered, "alignment-blocks")
     pairs = (
         numbered.where("_pairs IS NOT NULL").select("_block", F.posexplode(F.arrays_zip("_pairs", "_holders")).alias("_at", "_one"))
         .select("_block", "_at", F.col("_one._pairs").alias("_pair"), F.col("_one._holders").alias("_n"))
@@ -197,7 +231,7 @@ def support(aligned: DataFrame, links_col: str = "links", block: int = BLOCK) ->
     best = counts.groupBy("_a").agg(F.max("_count").alias("_most"))
     marked = counts.join(best, "_a").select("_pair", "_count", (F.col("_count") == F.col("_most")).alias("_best"))
     slices = pairs.select("_block", "_at", "_pair").join(marked, "_pair").select(F.col("_block").alias("_of"), "_at", "_count", "_best")
-    schema = StructType(nullable + [StructField(k, t) for k, t in added.items()])
+    schema = StructType(own + [StructField(k, t) for k, t in ADDED.items()])
 
     def score(docs: pa.Table, part: pa.Table) -> pa.Table:
         at = part.column("_at").to_numpy()

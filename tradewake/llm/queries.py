@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from pathlib import Path
 
@@ -213,7 +214,6 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op13_cross_tokenizer")
 def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    aligned = cross_tokenizer.align(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model")
-    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
-    scored = cross_tokenizer.support(aligned.select("doc_id", "n_a", "n_b", "n_groups", digest.alias("groups_sha256"), "links"))
-    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    digest = lambda groups: hashlib.sha256(groups.encode()).hexdigest() if groups else ""
+    scored = cross_tokenizer.alignment(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model", digest)
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
