@@ -154,6 +154,16 @@ def write_static_partition(t):
     return t.spark.read.parquet(path).withColumn("dt", c("dt").cast("string"))
 
 
+@query("write_append", sql("SELECT order_id, status, dt FROM order_info"))
+def write_append(t):
+    """Two batches appended to one table; the second runs twice and adds its rows once."""
+    path = fresh_path(t.spark, "append")
+    rows = t.order_info.select("order_id", "status", "dt")
+    for batch, day in (("first", c("dt") < "2024-02-01"), ("second", c("dt") >= "2024-02-01"), ("second", c("dt") >= "2024-02-01")):
+        W.append_batch(rows.where(day), path, batch)
+    return W.appended(t.spark, path, rows.schema)
+
+
 @query("retention_drop", sql("SELECT order_id, dt FROM order_info WHERE dt > '2024-02-10'"))
 def retention_drop(t):
     """Daily folders older than the retention are dropped from the table."""
@@ -169,6 +179,7 @@ def src_first_line(t):
     """The first line of a file with the orders in order."""
     path = fresh_path(t.spark, "first-line")
     W.sorted_lines(t.order_info, "order_id", F.concat(c("order_id").cast("string"), F.lit(",first")), path)
+    t.order_info.select(F.lit("later " * 9)).write.mode("append").text(path + "/zz-larger")
     return R.first_line(t.spark, path)
 
 

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewake.functions import exprs as X
+from tradewake.operators import cdc as C
 from tradewake.operators import state_tables as ST
+from tradewake.plans import trade
 from tradewake.plans.oracle import sql
 from tradewake.plans.registry import query
 from tradewake.plans.storage import streamed_log
-from tradewake.sources.tables import log_view
+from tradewake.session import fresh_path
+from tradewake.sources.tables import FIRST_DAY, log_view, order_info_view
+from tradewake.sources.writers import KeyedTable
 from tradewake.streaming import dedup as U
-from tradewake.streaming import runner, state
+from tradewake.streaming import outputs, runner, state
 from tradewake.streaming import watermark as M
 
 c = F.col
@@ -40,26 +48,40 @@ def fix_is_new(t):
     return U.repaired_new_flag(rows, "mid", "is_new", "ts", ["ts", "event_id"]).select("event_id", "mid", "is_new")
 
 
-@query("order_merge_latest", sql("""
+ORDER_MERGE = sql("""
     SELECT order_detail_id, seq, event_type, ts, max(order_amount) OVER w AS order_amount, max(pay_amount) OVER w AS pay_amount,
            max(refund_amount) OVER w AS refund_amount
     FROM parts WINDOW w AS (PARTITION BY order_detail_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
     parts="""
     SELECT order_id AS order_detail_id, order_id * 4 AS seq, 'order' AS event_type, epoch_us(order_time) // 1000 AS ts, CAST(amount AS DOUBLE) AS order_amount, NULL::DOUBLE AS pay_amount, NULL::DOUBLE AS refund_amount FROM order_info
     UNION ALL SELECT order_id, order_id * 4 + 1, 'pay', epoch_us(pay_time) // 1000, NULL, CAST(amount AS DOUBLE), NULL FROM order_info WHERE status <> 'CREATED'
-    UNION ALL SELECT order_id, order_id * 4 + 2, 'refund', epoch_us(pay_time) // 1000, NULL, NULL, CAST(amount AS DOUBLE) FROM order_info WHERE status = 'REFUNDED'"""))
+    UNION ALL SELECT order_id, order_id * 4 + 2, 'refund', epoch_us(pay_time) // 1000, NULL, NULL, CAST(amount AS DOUBLE) FROM order_info WHERE status = 'REFUNDED'""")
+
+
+def order_parts(orders: DataFrame) -> DataFrame:
+    """Order, pay and refund messages of every order as partial details; one read serves all three."""
+
+    def message(number: int, kind: str, when, created, called):
+        image = F.struct(
+            c("order_id").cast("string").alias("id"), c("order_id").cast("string").alias("order_detail_id"), c("order_id").cast("string").alias("order_id"),
+            c("amount").cast("string").alias("total_amount"), created.cast("string").alias("create_time"), called.cast("string").alias("callback_time"))
+        return F.when(when, F.struct((c("order_id") * 4 + number).alias("seq"), F.lit(kind).alias("event_type"), image.alias("after")))
+
+    none, paid = F.lit(None).cast("bigint"), F.unix_millis("pay_time")
+    messages = F.array_compact(F.array(
+        message(0, "order", F.lit(True), F.unix_millis("order_time"), none), message(1, "pay", c("status") != "CREATED", none, paid),
+        message(2, "refund", c("status") == "REFUNDED", paid, none)))
+    rows = orders.select(F.inline(messages))
+    return ST.partial_details(rows.withColumns({"data": F.lit(None).cast(rows.schema["after"].dataType), "ts": none}))
+
+
+def merged_columns(df: DataFrame) -> DataFrame:
+    return df.select(c("order_detail_id").cast("bigint").alias("order_detail_id"), "seq", "event_type", "ts", "order_amount", "pay_amount", "refund_amount")
+
+
+@query("order_merge_latest", ORDER_MERGE)
 def order_merge_latest(t):
-    o = t.order_info
-    image = lambda created, called: F.struct(
-        c("order_id").cast("string").alias("id"), c("order_id").cast("string").alias("order_detail_id"), c("order_id").cast("string").alias("order_id"),
-        c("amount").cast("string").alias("total_amount"), created.cast("string").alias("create_time"), called.cast("string").alias("callback_time"))
-    none = F.lit(None).cast("bigint")
-    ordered = o.select((c("order_id") * 4).alias("seq"), F.lit("order").alias("event_type"), image(F.unix_millis("order_time"), none).alias("after"))
-    paid = o.where(c("status") != "CREATED").select((c("order_id") * 4 + 1).alias("seq"), F.lit("pay").alias("event_type"), image(none, F.unix_millis("pay_time")).alias("after"))
-    back = o.where(c("status") == "REFUNDED").select((c("order_id") * 4 + 2).alias("seq"), F.lit("refund").alias("event_type"), image(F.unix_millis("pay_time"), none).alias("after"))
-    changes = ordered.unionByName(paid).unionByName(back).withColumn("data", F.lit(None).cast(ordered.schema["after"].dataType)).withColumn("ts", none)
-    merged = ST.merge_details(ST.partial_details(changes))
-    return merged.select(c("order_detail_id").cast("bigint").alias("order_detail_id"), "seq", "event_type", "ts", "order_amount", "pay_amount", "refund_amount")
+    return merged_columns(ST.merge_details(order_parts(t.order_info)))
 
 
 NEWER_TS = sql("""
@@ -105,3 +127,86 @@ def dedup_newer_ts_s(t):
     rows = log_view(t.stream("events")).select("user_id", c("event_id").alias("position"), (c("ts_ms") + (c("event_id") * 7919) % 400_000_000).alias("ts_ms"))
     with state.running_to_end(t.spark):
         return runner.to_table(state.newer_only(rows, "user_id", "ts_ms", ["position"]), "newer-ts")
+
+
+@query("order_merge_latest_s", ORDER_MERGE)
+def order_merge_latest_s(t):
+    parts = order_parts(order_info_view(t.stream("orders")))
+    with state.running_to_end(t.spark):
+        return merged_columns(runner.to_table(state.merge_parts(parts, "order_detail_id", ST.AMOUNTS, "seq"), "merge"))
+
+
+# ---- late rows, and jobs over change streams that arrive in parts ----------------------
+
+
+@query("late_dropped_s", sql("""
+    SELECT strftime(slot, '%Y-%m-%d %H:%M:%S') AS stt, count(*) AS n FROM kept WHERE NOT late GROUP BY slot
+    UNION ALL SELECT 'late', count(*) FROM kept WHERE late""",
+    arrived=f"""SELECT ts, time_bucket(INTERVAL 1 HOUR, ts) AS slot,
+        least(3, date_diff('day', DATE '{FIRST_DAY}', CAST(ts AS DATE)) // 8) + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END AS part FROM log""",
+    marks="""SELECT p.part, date_trunc('millisecond', max(a.ts)) - INTERVAL 30 MINUTE AS mark
+        FROM (SELECT unnest(range(5)) AS part) p LEFT JOIN arrived a ON a.part < p.part GROUP BY p.part""",
+    kept="SELECT slot, coalesce(slot + INTERVAL 1 HOUR <= mark, false) AS late FROM arrived JOIN marks USING (part)"))
+def late_dropped_s(t):
+    """Events in five parts by eight days; one event in ten comes a part late, mostly after its window has closed."""
+    slot = F.least(F.lit(3), F.floor(F.datediff("ts", F.lit(FIRST_DAY).cast("date")) / 8)) + F.when(c("event_id") % 10 == 0, 1).otherwise(0)
+    log = t.log.select("event_id", "ts", slot.alias("part"))
+    table = KeyedTable(fresh_path(t.spark, "late-windows"), ["window_start"], ["version"])
+
+    def run(stream, checkpoint):
+        counts = M.counted_windows(stream, "ts", "1 hour", delay="30 minutes")
+        runner.each_batch(counts, "late", lambda rows, i: table.upsert(rows.withColumn("version", F.lit(i)), i), "update", checkpoint, [table])
+
+    arrived = runner.arriving(t.spark, [log.where(c("part") == k).drop("part") for k in range(5)], "late-events", run)
+    counted = table.read(t.spark)
+    late = M.late_rows(arrived, counted).select(F.lit("late").alias("stt"), c("late").alias("n"))
+    return counted.select(X.time_text("window_start").alias("stt"), "n").unionByName(late)
+
+
+@query("order_wide_s", trade.ORDER_WIDE)
+def order_wide_s(t):
+    """Details and old headers come first, then new headers, payments and activities, then coupons and refunds of the same orders."""
+    detail, info, activity, coupon, payment, refund = trade.change_logs(t)
+    owner = F.floor(c("order_detail_id") / 10).alias("order_id")
+    logs = {"detail": (detail, 0), "info": (info, 1), "activity": (activity.select("*", owner), 1), "coupon": (coupon.select("*", owner), 2), "payment": (payment, 1),
+            "refund": (refund.withColumn("ts_ms", F.unix_millis("refund_create_time")), 2)}
+    older = c("province_id") >= 100
+    changes = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
+        df.withColumns({"kind": F.lit(kind), "part": F.when(older, 0).otherwise(part) if kind == "info" else F.lit(part)}) for kind, (df, part) in logs.items()])
+    changes = t.stored("order-changes", lambda: changes)
+    columns = {kind: df.columns for kind, (df, _) in logs.items()}
+    split = lambda batch: {kind: batch.where(c("kind") == kind).select(*columns[kind]) for kind in outputs.WideOrders.KEYS}
+    wide = outputs.WideOrders(fresh_path(t.spark, "wide-orders"), split, buckets=16)
+    run = lambda stream, checkpoint: runner.each_batch(stream, "wide", wide, "append", checkpoint, wide.tables)
+    runner.arriving(t.spark, [changes.where(c("part") == k).drop("part") for k in range(3)], "order-changes-in", run)
+    return wide.wide.read(t.spark).drop("version")
+
+
+@query("snapshot_rows_s", sql("""
+    SELECT tbl AS source_table, key AS position FROM cdc_op WHERE op = 'r'
+    UNION ALL SELECT tbl, NULL FROM cdc_op GROUP BY tbl HAVING bool_or(op <> 'r')"""))
+def snapshot_rows_s(t):
+    """Snapshot rows, and for each table a row without position where its snapshot ended."""
+    text = t.cdc_text.select("value", "position")
+    out = fresh_path(t.spark, "snapshot-out")
+
+    def run(stream, checkpoint):
+        rows = C.parse(stream).select(c("source")["table"].alias("source_table"), "op", c("source")["snapshot"].alias("snapshot"), c("position").cast("string").alias("position"))
+        query, _ = runner.start(state.snapshot_gate(rows, "source_table"), "snapshot", path=out, checkpoint=checkpoint)
+        query.awaitTermination()
+
+    with state.running_to_end(t.spark):
+        runner.arriving(t.spark, [text.where(c("position") % 2 == k) for k in (0, 1)], "snapshot-in", run)
+    rows = t.spark.read.schema("source_table string, op string, snapshot string, position string").parquet(out)
+    return rows.select("source_table", c("position").cast("bigint").alias("position"))
+
+
+@query("dim_route_by_config_s", trade.DIM_BY_CONFIG)
+def dim_route_by_config_s(t):
+    text = t.cdc_text.where(c("source_table").isin([row[0] for row in trade.CONFIG])).select("value", "position")
+    table = KeyedTable(fresh_path(t.spark, "config-dims"), ["sink_table", "row_key"], ["ts_ms", "op"])
+    write = outputs.dims_by_config(lambda spark: C.config_frame(spark, trade.CONFIG), table)
+    run = lambda stream, checkpoint: runner.each_batch(stream, "dims", write, "append", checkpoint, [table])
+    runner.arriving(t.spark, [text.where(c("position") % 2 == k) for k in (0, 1)], "config-in", run)
+    state_rows = table.read(t.spark).where(c("op") != "d").withColumn("cells", F.map_from_entries("cells"))
+    return trade.dim_columns(state_rows)

@@ -99,16 +99,22 @@ CONFIG = [
 ]
 
 
-@query("dim_route_by_config", sql("""
+DIM_BY_CONFIG = sql("""
     SELECT 'dim_user_info' AS sink_table, CAST(user_id AS VARCHAR) AS row_key, user_name AS name, CAST(NULL AS VARCHAR) AS tm_id
     FROM dim_user WHERE user_id % 4 <> 3
-    UNION ALL SELECT 'dim_sku_info', CAST(item_id AS VARCHAR), item_name, CAST(brand_id AS VARCHAR) FROM dim_item WHERE item_id % 4 <> 3"""))
-def dim_route_by_config(t):
-    state = C.dim_state(C.route_dims(envelopes(t), C.config_frame(t.spark, CONFIG)))
+    UNION ALL SELECT 'dim_sku_info', CAST(item_id AS VARCHAR), item_name, CAST(brand_id AS VARCHAR) FROM dim_item WHERE item_id % 4 <> 3""")
+
+
+def dim_columns(state):
     cell = lambda k: F.try_element_at("cells", F.lit(k))
     return state.select("sink_table", "row_key", F.coalesce(cell("login_name"), cell("sku_name")).alias("name"), cell("tm_id").alias("tm_id"))
 
 
+@query("dim_route_by_config", DIM_BY_CONFIG)
+def dim_route_by_config(t):
+    return dim_columns(C.dim_state(C.route_dims(envelopes(t), C.config_frame(t.spark, CONFIG))))
+
+
 @query("dim_table_plan", sql("""
     SELECT 'dim_' || user_id AS sink_table, CASE WHEN user_id % 4 = 3 THEN 'DROP' ELSE 'CREATE' END AS action FROM dim_user"""))
 def dim_table_plan(t):
@@ -157,7 +163,7 @@ def latest_refund(t):
     return J.latest_refund(refund_log(t))
 
 
-@query("order_wide", sql("""
+ORDER_WIDE = sql("""
     SELECT d.detail_id AS order_detail_id, d.order_id, d.sku_id, CAST(d.amount AS DOUBLE) AS order_price, d.quantity AS sku_num,
            i.user_id, i.province_id, strftime(i.order_time, '%Y-%m-%d %H:%M:%S') AS order_create_time,
            CASE WHEN d.detail_id % 3 = 0 THEN d.detail_id % 20 END AS activity_id,
@@ -171,7 +177,10 @@ def latest_refund(t):
            epoch_us(d.order_time) // 1000 AS ts
     FROM detail_latest d JOIN order_info i ON d.order_id = i.order_id LEFT JOIN refund_latest r ON d.order_id = r.order_id""",
     detail_latest="""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY detail_id ORDER BY order_time DESC, sku_id DESC, amount DESC, quantity DESC) AS rn
-                     FROM order_item) WHERE rn = 1""", refund_latest=REFUND_LATEST))
+                     FROM order_item) WHERE rn = 1""", refund_latest=REFUND_LATEST)
+
+
+@query("order_wide", ORDER_WIDE)
 def order_wide(t):
     return J.order_wide(*change_logs(t))
 

@@ -33,7 +33,16 @@ def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def first_line(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).limit(1)
+    """The first line of a file, or of the first file by name of a folder; empty files are passed over.
+
+    Names and lengths are listed without reading the files, and only the first split of the first file is read: the order in which Spark
+    takes splits goes by their size and says nothing about the order of lines.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    first = listed.where(F.col("length") > 0).agg(F.min("path")).first()[0]
+    if first is None:
+        return spark.createDataFrame([], "value string")
+    return spark.read.text(first).where(F.col("_metadata.file_block_start") == 0).select("value").limit(1)
 
 
 def delimited(spark: SparkSession, path: str, schema: str, sep: str = "\t") -> DataFrame:

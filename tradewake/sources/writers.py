@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tradewake.functions import exprs as X
 from tradewake.operators.cdc import latest
@@ -95,14 +96,24 @@ def write_jdbc(df: DataFrame, url: str, table: str, columns: Sequence[str], skip
 
 
 def versions(spark: SparkSession, folder: str) -> list[int]:
-    """Complete ``v=<n>`` folders below a folder."""
+    """Complete ``_v=<n>`` folders below a folder."""
     jvm = spark._jvm.org.apache.hadoop.fs.Path
     root = jvm(folder)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return []
     found = [s.getPath() for s in fs.listStatus(root)]
-    return sorted(int(p.getName()[2:]) for p in found if fs.exists(jvm(p, "_SUCCESS")))
+    return sorted(int(p.getName().split("=")[1]) for p in found if fs.exists(jvm(p, "_SUCCESS")))
+
+
+def append_batch(df: DataFrame, path: str, batch: str) -> None:
+    """INSERT INTO: adds rows to a table as the folder of their batch; a repeated run of the same batch replaces its own rows only."""
+    df.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+
+def appended(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All appended rows, without the batch they came with."""
+    return spark.read.schema(StructType([*schema.fields, StructField("batch", StringType())])).parquet(path).drop("batch")
 
 
 class KeyedTable:
@@ -110,25 +121,67 @@ class KeyedTable:
 
     A batch writes only its own newest rows, whatever the size of the table; a
     repeated batch overwrites the same delta, so replays change nothing.
-    Readers merge base and deltas; ``compact`` folds old deltas into a new base.
+    Readers merge base and deltas; ``fold`` puts the deltas into a new base.
+
+    With ``bucket``, a column of every row, base and deltas are partitioned by its
+    hash, and ``read`` opens only the partitions asked for.
     """
 
-    def __init__(self, path: str, keys: list[str], order: list[str]):
-        self.path, self.keys, self.order = path, keys, order
+    def __init__(self, path: str, keys: list[str], order: list[str], bucket: str | None = None, buckets: int = 64):
+        self.path, self.keys, self.order, self.bucket, self.buckets = path, keys, order, bucket, buckets
+        self.schema: StructType | None = None  # that of the last batch; a first read after a restart takes it from the files
+
+    def bucket_of(self, column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(self.buckets)).cast("int")
+
+    def _folder(self, kind: str, version: int) -> str:
+        return f"{self.path}/_kind={kind}/_v={version}"
+
+    def _write(self, rows: DataFrame, path: str) -> None:
+        if self.bucket:
+            rows = by_partition(rows.withColumn("_bucket", self.bucket_of(self.bucket)), "_bucket")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*["_bucket"] * bool(self.bucket)).parquet(path)
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        latest(batch, self.keys, self.order).write.mode("overwrite").parquet(f"{self.path}/delta/v={batch_id}")
+        self.schema = StructType([StructField(f.name, f.dataType) for f in batch.schema.fields])
+        self._write(latest(batch, self.keys, self.order), self._folder("delta", batch_id))
 
-    def read(self, spark: SparkSession, upto: int | None = None) -> DataFrame | None:
-        """The table after batch ``upto`` (the newest when omitted); None while nothing was written."""
-        known = lambda kind: [v for v in versions(spark, f"{self.path}/{kind}") if upto is None or v <= upto]
+    def _versions(self, spark: SparkSession, upto: int | None) -> tuple[list[int], list[int]]:
+        known = lambda kind: [v for v in versions(spark, f"{self.path}/_kind={kind}") if upto is None or v <= upto]
         base = known("base")[-1:]
-        deltas = [v for v in known("delta") if not base or v > base[0]]
-        paths = [f"{self.path}/base/v={v}" for v in base] + [f"{self.path}/delta/v={v}" for v in deltas]
+        return base, [v for v in known("delta") if not base or v > base[0]]
+
+    def read(self, spark: SparkSession, upto: int | None = None, only: Sequence[int] | None = None) -> DataFrame | None:
+        """The table after batch ``upto`` (the newest when omitted); None while nothing was written.
+
+        ``only`` lists the buckets to read. After a fold, states before it cannot be read any more.
+        """
+        base, deltas = self._versions(spark, upto)
+        paths = [self._folder("base", v) for v in base] + [self._folder("delta", v) for v in deltas]
         if not paths:
             return None
-        rows = spark.read.parquet(*paths)
+        reader = spark.read.option("basePath", self.path)
+        if self.schema is not None:
+            reader = reader.schema(StructType(self.schema.fields + [StructField("_bucket", IntegerType())] * bool(self.bucket)))
+        rows = reader.parquet(*paths)
+        if only is not None:
+            rows = rows.where(F.col("_bucket").isin(list(only)))
+        rows = rows.drop("_kind", "_v", "_bucket")
         return latest(rows, self.keys, self.order) if deltas else rows
 
     def compact(self, spark: SparkSession, upto: int) -> None:
-        self.read(spark, upto).write.mode("overwrite").parquet(f"{self.path}/base/v={upto}")
+        self._write(self.read(spark, upto), self._folder("base", upto))
+
+    def fold(self, spark: SparkSession, batch_id: int, every: int) -> None:
+        """A new base once ``every`` deltas have gathered; what it replaces is removed.
+
+        Only complete versions are read, so a fold that was cut off is done again, and a batch that is repeated after
+        its fold changes nothing. Frames read before a fold must have been used by then.
+        """
+        base, deltas = self._versions(spark, batch_id)
+        if len(deltas) >= every:
+            self.compact(spark, batch_id)
+            base, deltas = [batch_id], []
+        for kind in ("base", "delta"):
+            old = [v for v in versions(spark, f"{self.path}/_kind={kind}") if base and (v < base[0] or kind == "delta" and v == base[0])]
+            drop_partitions(spark, f"{self.path}/_kind={kind}", "_v", [str(v) for v in old])

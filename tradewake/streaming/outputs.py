@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,8 +64,9 @@ class WideOrders:
     """Order wide rows kept up to date from six change streams.
 
     Regular outer joins of streams would hold every row for ever. Instead each
-    source is a keyed table; a batch recomputes the orders it touched and
-    upserts their wide rows.
+    source is a keyed table in buckets of its order; a batch upserts its rows,
+    reads of every table only the buckets of the orders it touched, and upserts
+    the wide rows of those orders. More ``buckets`` make a batch of few orders read less.
     """
 
     KEYS = {
@@ -76,23 +78,31 @@ class WideOrders:
         "refund": ["order_id", "refund_id"],
     }
 
-    def __init__(self, path: str, split: Callable[[DataFrame], dict[str, DataFrame]]):
+    def __init__(self, path: str, split: Callable[[DataFrame], dict[str, DataFrame]], buckets: int = 64):
         """``split`` turns a batch into the six change logs; every one carries ``order_id`` and ``ts_ms``."""
         self.split = split
-        self.tables = {n: KeyedTable(f"{path}/{n}", k, ["ts_ms"]) for n, k in self.KEYS.items()}
-        self.wide = KeyedTable(f"{path}/wide", ["order_detail_id"], ["version"])
+        self.states = {n: KeyedTable(f"{path}/{n}", k, ["ts_ms"], "order_id", buckets) for n, k in self.KEYS.items()}
+        self.wide = KeyedTable(f"{path}/wide", ["order_detail_id"], ["version"], "order_id", buckets)
+
+    @property
+    def tables(self) -> list[KeyedTable]:
+        return [*self.states.values(), self.wide]
+
+    def sides(self, touched: DataFrame, batch_id: int) -> dict[str, DataFrame]:
+        """The rows of the touched orders in each table; of the tables only the buckets of these orders are opened."""
+        buckets = touched.select(self.wide.bucket_of("order_id").alias("b")).distinct()
+        only = sorted(r["b"] for r in buckets.collect())  # numbers of buckets, at most as many as there are
+        return {n: t.read(touched.sparkSession, batch_id, only).join(touched, "order_id", "left_semi") for n, t in self.states.items()}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        batch = batch.persist()
         logs = self.split(batch)
-        touched = None
         for name, rows in logs.items():
-            self.tables[name].upsert(rows, batch_id)
-            ids = rows.select("order_id")
-            touched = ids if touched is None else touched.unionByName(ids)
-        touched = touched.distinct()
-        sides = {n: t.read(spark, batch_id).join(touched, "order_id", "left_semi") for n, t in self.tables.items()}
+            self.states[name].upsert(rows, batch_id)
+        touched = reduce(DataFrame.unionByName, [rows.select("order_id") for rows in logs.values()]).where("order_id IS NOT NULL").distinct()
+        sides = self.sides(touched, batch_id)
         slim = {n: d.drop("order_id") if n in ("activity", "coupon") else d for n, d in sides.items()}
         slim["refund"] = slim["refund"].drop("ts_ms")
         rows = J.order_wide(*[slim[n] for n in self.KEYS])
         self.wide.upsert(rows.withColumn("version", F.lit(batch_id)), batch_id)
+        batch.unpersist()

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 from tradewake.session import fresh_path
+from tradewake.sources.writers import KeyedTable
 
 
 def start(df: DataFrame, name: str, mode: str = "append", fmt: str = "parquet", partition_by: Sequence[str] = (),
@@ -29,11 +31,37 @@ def to_table(df: DataFrame, name: str, mode: str = "append", fmt: str = "parquet
     return reader.load(path)
 
 
-def each_batch(df: DataFrame, name: str, write: Callable[[DataFrame, int], None], mode: str = "update", checkpoint: str | None = None) -> int:
-    """Runs ``write`` on every micro-batch of the available input; returns the last batch id."""
+def each_batch(df: DataFrame, name: str, write: Callable[[DataFrame, int], None], mode: str = "update", checkpoint: str | None = None,
+               tables: Sequence[KeyedTable] = (), fold_every: int = 8) -> int:
+    """Runs ``write`` on every micro-batch of the available input; returns the last batch id.
+
+    ``tables`` are keyed tables that ``write`` upserts into: at the end of a batch each one with ``fold_every`` deltas is folded.
+    """
     spark = df.sparkSession
     checkpoint = checkpoint or fresh_path(spark, f"{name}-checkpoint")
-    query = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        for table in tables:
+            table.fold(batch.sparkSession, batch_id, fold_every)
+
+    query = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(run).start()
     query.awaitTermination()
     progress = query.lastProgress
     return progress["batchId"] if progress else -1
+
+
+def arriving(spark: SparkSession, parts: Sequence[DataFrame], name: str, run: Callable[[DataFrame, str], object]) -> DataFrame:
+    """Lets ``parts`` arrive one after another: each is added to a folder, and ``run`` gets the folder as a stream with a
+    checkpoint that all of its runs share, so every part is taken as new input. Returns all that has arrived."""
+    path, checkpoint = fresh_path(spark, name), fresh_path(spark, f"{name}-checkpoint")
+    schema = StructType([StructField(f.name, f.dataType) for f in parts[0].schema.fields])
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        run(spark.readStream.schema(schema).parquet(path), checkpoint)
+    return spark.read.schema(schema).parquet(path)
+
+
+def dropped_rows(query) -> int:
+    """Rows, or partial aggregates of them, that the stateful operators of a query dropped as too late; from its recent progress."""
+    return sum(op["numRowsDroppedByWatermark"] for progress in query.recentProgress for op in progress["stateOperators"])
