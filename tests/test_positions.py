@@ -19,6 +19,7 @@ def skewed(frame):
 def test_ranked(skewed, rows):
     want = skewed.withColumn("rank", F.rank().over(W.partitionBy("g").orderBy(F.col("v").desc())))
     assert rows(P.ranked(skewed, ["g"], "v", 7.0), "g", "id", "rank") == rows(want, "g", "id", "rank")
+    assert rows(P.ranked(skewed, ["g"], "v"), "g", "id", "rank") == rows(want, "g", "id", "rank")
 
 
 def test_cumulative_share(skewed, rows):
@@ -28,7 +29,7 @@ def test_cumulative_share(skewed, rows):
 
 def test_numbered(skewed, rows):
     want = skewed.withColumn("rank", F.row_number().over(W.partitionBy("g").orderBy(F.col("v").desc(), "id")))
-    assert rows(P.numbered(skewed, ["g"], "v", 7.0, "id", 50), "g", "id", "rank") == rows(want, "g", "id", "rank")
+    assert rows(P.numbered(skewed, ["g"], "v", "id", 50), "g", "id", "rank") == rows(want, "g", "id", "rank")
 
 
 def test_following(skewed, rows):
@@ -64,7 +65,7 @@ def test_no_row_is_lost_to_nulls(frame, rows):
     assert got == window and len(got) == 6
     share = rows(P.cumulative_share(df, ["g"], "v", 1.0))
     assert share == rows(df.withColumn("share", F.cume_dist().over(W.partitionBy("g").orderBy(F.col("v").asc_nulls_first()))))
-    number = P.numbered(df.withColumn("t", F.length("id")), ["g"], "v", 1.0, "t", 10)
+    number = P.numbered(df.withColumn("t", F.length("id")), ["g"], "v", "t", 10)
     assert number.count() == 6
 
 

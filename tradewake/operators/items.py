@@ -18,8 +18,11 @@ MONEY = "decimal(18,2)"
 BOUNCE_SECONDS = 3
 
 
-def conform(visit: DataFrame, fav: DataFrame, cart: DataFrame, order: DataFrame, payment: DataFrame, micro: DataFrame) -> DataFrame:
-    """Six facts as rows of (date_key, item_id, user_id, kind, fact_id, order_id, action, dwell, quantity, amount)."""
+def conform(visit: DataFrame, fav: DataFrame, cart: DataFrame, order: DataFrame, payment: DataFrame, micro: DataFrame, refund: DataFrame | None = None) -> DataFrame:
+    """Six facts as rows of (date_key, item_id, user_id, kind, fact_id, order_id, action, dwell, quantity, amount).
+
+    The action of a payment is its activity. Refunds, if given, are rows without a user: they make nobody a visitor.
+    """
     none_id, none_text = F.lit(None).cast("bigint"), F.lit(None).cast("string")
 
     def rows(df, kind, fact_id, order_id=none_id, action=none_text, dwell=None, quantity=None, amount=None):
@@ -35,9 +38,11 @@ def conform(visit: DataFrame, fav: DataFrame, cart: DataFrame, order: DataFrame,
         rows(fav, "fav", "fav_id", action=F.col("action_type")),
         rows(cart, "cart", "cart_id", action=F.col("action_type"), quantity="quantity"),
         rows(order, "order", "order_id", F.col("order_id"), quantity="quantity", amount="order_amount"),
-        rows(payment, "payment", "payment_id", F.col("order_id"), quantity="quantity", amount="payment_amount"),
+        rows(payment, "payment", "payment_id", F.col("order_id"), F.col("activity_id"), quantity="quantity", amount="payment_amount"),
         rows(micro, "micro", "micro_id", dwell="duration_sec"),
     ]
+    if refund is not None:
+        parts.append(rows(refund.withColumn("user_id", none_id), "refund", "refund_id", amount="refund_amount"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -54,10 +59,19 @@ def _action(kind: str, action: str):
 
 
 def item_days(facts: DataFrame, item: DataFrame, category: DataFrame) -> DataFrame:
-    """19 measures per item and day.
+    """19 measures per item and day."""
+    return item_measures(facts, item, category).drop(*EXTRA)
+
+
+#: Measures of the overview beside those of an item day.
+EXTRA = ["cart_uv", "refund_amt", "jhs_pay_amt"]
+
+
+def item_measures(facts: DataFrame, item: DataFrame, category: DataFrame) -> DataFrame:
+    """The measures of an item day, cart users, refunds and group-buy amounts.
 
     Distinct counts over visits, users, orders, payments and micro views are
-    taken level by level: fact, user, item.
+    taken level by level: fact, user, item. A day with refunds only is no item day.
     """
     per_fact = facts.groupBy("date_key", "item_id", "user_id", "kind", "action", "fact_id", "order_id").agg(
         F.count(F.lit(1)).alias("n"),
@@ -86,17 +100,23 @@ def item_days(facts: DataFrame, item: DataFrame, category: DataFrame) -> DataFra
         F.max(F.when(_kind("order"), F.col("user_id"))).alias("order_user"),
         F.max(F.when(_kind("payment"), F.col("user_id"))).alias("payment_user"),
         F.max(F.when(_kind("micro"), F.col("user_id"))).alias("micro_user"),
+        F.max(F.when(_action("cart", "ADD"), F.col("user_id"))).alias("cart_user"),
+        _sum_if(_kind("refund"), "amount").alias("refund_amt"),
+        _sum_if(_action("payment", "JUHUASUAN"), "amount").alias("jhs_pay_amt"),
+        F.max(F.when(~_kind("refund"), 1)).alias("_facts"),
     )
     sums = ["visit_count", "total_dwell_seconds", "bounce_count", "fav_add_count", "fav_remove_count", "cart_add_count",
             "cart_remove_count", "cart_add_quantity", "order_count", "order_quantity", "order_amount", "payment_count",
-            "payment_quantity", "payment_amount", "micro_detail_count"]
+            "payment_quantity", "payment_amount", "micro_detail_count", "refund_amt", "jhs_pay_amt"]
     per_item = per_user.groupBy("date_key", "item_id").agg(
         F.count("user_id").alias("visitor_count"),
         F.count("order_user").alias("order_user_count"),
         F.count("payment_user").alias("payment_user_count"),
         F.count("micro_user").alias("micro_detail_user_count"),
+        F.count("cart_user").alias("cart_uv"),
+        F.max("_facts").alias("_facts"),
         *[F.sum(c).alias(c) for c in sums],
-    )
+    ).where("_facts = 1").drop("_facts")
     named = item.select("item_id", "item_name", "category_id", "price").join(
         category.select("category_id", "category_name"), "category_id", "left"
     )
@@ -145,7 +165,8 @@ def activity_effect(activity: DataFrame, payment: DataFrame, order: DataFrame, r
     """Orders, payments and refunds per activity and day; activities without payments stay.
 
     Order and refund amounts are summed per payment side before the join, so
-    nothing is counted twice; distinct counts go through one grouping each.
+    nothing is counted twice. A payment brings one row for each thing to be counted, its
+    amounts with the first: one grouping makes the things distinct, a second counts and sums.
     """
     order_side = order.groupBy("order_id", "item_id").agg(F.sum("order_amount").alias("order_amount"))
     refund_side = refund.groupBy("payment_id").agg(
@@ -155,25 +176,21 @@ def activity_effect(activity: DataFrame, payment: DataFrame, order: DataFrame, r
         F.sum("payment_amount").alias("payment_amount")
     )
     linked = paid.join(order_side, ["order_id", "item_id"], "left").join(refund_side, "payment_id", "left")
-    keys = ["date_key", "activity_id"]
-    sums = linked.groupBy(*keys).agg(
-        F.sum("order_amount").alias("total_order_amount"),
-        F.sum("payment_amount").alias("payment_amount"),
-        F.sum("refunds").alias("refund_count"),
-        F.sum("refund_amount").alias("refund_amount"),
+    keys, amounts = ["date_key", "activity_id"], ["order_amount", "payment_amount", "refunds", "refund_amount"]
+    things = {"payment_count": F.col("payment_id"), "item_count": F.col("item_id"), "payment_user_count": F.col("user_id"),
+              "order_count": F.when(F.col("order_amount").isNotNull(), F.col("order_id"))}
+    sums = F.struct(*amounts)
+    thing = lambda name, thing_id: F.struct(
+        F.lit(name).alias("thing"), thing_id.cast("bigint").alias("id"), F.when(F.lit(name == "payment_count"), sums).alias("a"))
+    rows = linked.select(*keys, F.inline(F.array(*[thing(n, i) for n, i in things.items()])))
+    once = rows.groupBy(*keys, "thing", "id").agg(*[F.sum(f"a.{c}").alias(c) for c in amounts])
+    none = lambda name: (F.col("thing") == name) & F.col("id").isNotNull()
+    out = once.groupBy(*keys).agg(
+        *[F.count(F.when(none(n), 1)).alias(n) for n in things], F.sum("order_amount").alias("total_order_amount"), F.sum("payment_amount").alias("payment_amount"),
+        F.sum("refunds").alias("refund_count"), F.sum("refund_amount").alias("refund_amount"),
     )
-    distinct = {
-        "item_count": ["item_id"],
-        "payment_user_count": ["user_id"],
-        "payment_count": ["payment_id"],
-    }
-    out = sums
-    for name, ids in distinct.items():
-        out = out.join(linked.select(*keys, *ids).distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias(name)), keys)
-    known_orders = linked.where(F.col("order_amount").isNotNull()).select(*keys, "order_id").distinct()
-    out = out.join(known_orders.groupBy(*keys).agg(F.count(F.lit(1)).alias("order_count")), keys, "left")
     out = activity.join(out, "activity_id", "left")
-    counts = [*distinct, "order_count", "refund_count", "total_order_amount", "payment_amount", "refund_amount"]
+    counts = [*things, "refund_count", "total_order_amount", "payment_amount", "refund_amount"]
     filled = out.select("date_key", "activity_id", "activity_name", *[X.zero(c).alias(c) for c in counts])
     return filled.withColumn("visitor_count", F.col("payment_user_count")).withColumn(
         "paid_order_amount", F.col("total_order_amount")
@@ -216,20 +233,19 @@ def buyer_types(payment: DataFrame, user: DataFrame) -> DataFrame:
     )
 
 
+def with_ytd(item_day: DataFrame) -> DataFrame:
+    """Paid amount from the start of the year to each day beside the rows of an item."""
+    rows = item_day.withColumn("_year", F.floor(F.col("date_key") / 10_000))
+    return running_total(rows, ["item_id", "_year"], "date_key", "payment_amount", "ytd_pay_amt").drop("_year")
+
+
 def ytd_amounts(item_day: DataFrame) -> DataFrame:
-    """Paid amount from the start of the year to each day, per item."""
-    year = F.floor(F.col("date_key") / 10_000).alias("year")
-    rows = item_day.select("item_id", year, "date_key", "payment_amount")
-    return running_total(rows, ["item_id", "year"], "date_key", "payment_amount", "ytd_pay_amt").select("item_id", "date_key", "ytd_pay_amt")
+    return with_ytd(item_day.select("item_id", "date_key", "payment_amount")).select("item_id", "date_key", "ytd_pay_amt")
 
 
-def item_overview(item_day: DataFrame, cart: DataFrame, refund: DataFrame, payment: DataFrame) -> DataFrame:
+def item_overview(measures: DataFrame) -> DataFrame:
     """Item day totals with rates, refunds, group-buy and year-to-date amounts."""
-    keys = ["date_key", "item_id"]
-    cart_uv = cart.where(F.col("action_type") == "ADD").groupBy(*keys).agg(F.countDistinct("user_id").alias("cart_uv"))
-    refunds = refund.groupBy(*keys).agg(F.sum("refund_amount").alias("refund_amt"))
-    group_buy = payment.where(F.col("activity_id") == "JUHUASUAN").groupBy(*keys).agg(F.sum("payment_amount").alias("jhs_pay_amt"))
-    d = item_day.join(cart_uv, keys, "left").join(refunds, keys, "left").join(group_buy, keys, "left").join(ytd_amounts(item_day), keys, "left")
+    d = with_ytd(measures).withColumn("cart_uv", F.when(F.col("cart_uv") > 0, F.col("cart_uv")))
     uv, c = F.col("visitor_count"), F.col
     return d.select(
         "date_key", "item_id", "category_id", uv.alias("uv"), c("visit_count").alias("pv"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,17 +17,27 @@ UNKNOWN_CHANNEL = "未知渠道"
 SLOT = "10 minutes"
 
 
-def next_pages(log: DataFrame) -> DataFrame:
-    """Each page record with the page the same device opens next."""
+def next_pages(log: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Each page record with the page the same device opens next; of the days from ``first`` to ``last``, if given.
+
+    Days before the range are not read. Of what follows it, every device brings only its next record.
+    """
     slot = F.window("ts", SLOT)["start"]
     rows = log.select("mid", "ts", "event_id", "page_id", "dt")
-    return following(rows, ["mid"], ["ts", "event_id"], "page_id", "next_page_id", slot)
+    at = lambda day, after=0: F.date_add(F.lit(day).cast("date"), after).cast(log.schema["ts"].dataType)
+    if first is not None:
+        rows = rows.where(F.col("ts") >= at(first))
+    if last is not None:
+        later = rows.where(F.col("ts") >= at(last, 1)).groupBy("mid").agg(F.min(F.struct("ts", "event_id", "page_id", "dt")).alias("_next"))
+        rows = rows.where(F.col("ts") < at(last, 1)).unionByName(later.select("mid", "_next.*"))
+    found = following(rows, ["mid"], ["ts", "event_id"], "page_id", "next_page_id", slot)
+    return found if last is None else found.where(F.col("ts") < at(last, 1))
 
 
-def before_payment(log: DataFrame) -> DataFrame:
+def before_payment(log: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
     """Visits per day and page group, and how many led straight to payment."""
     group = X.page_group("page_id")
-    rows = next_pages(log).withColumn("page_group", group).where(F.col("page_group").isNotNull())
+    rows = next_pages(log, first, last).withColumn("page_group", group).where(F.col("page_group").isNotNull())
     return rows.groupBy("dt", "page_group").agg(
         F.count(F.lit(1)).alias("views"),
         F.coalesce(F.sum(F.when(F.col("next_page_id") == "payment", 1)), F.lit(0)).alias("payments"),
@@ -38,7 +50,8 @@ def shares_by_period(log: DataFrame, as_of: str, periods: tuple[int, ...] = (1,
     Rows are counted per day first; periods are exploded over those few rows.
     """
     day, ref = F.to_date("dt"), F.lit(as_of).cast("date")
-    spread = before_payment(log).withColumn("recent_days", F.explode(F.array(*[F.lit(n) for n in periods])))
+    start = (date.fromisoformat(as_of) - timedelta(days=max(periods) - 1)).isoformat()
+    spread = before_payment(log, start, as_of).withColumn("recent_days", F.explode(F.array(*[F.lit(n) for n in periods])))
     inside = spread.where((day > F.date_sub(ref, F.col("recent_days"))) & (day <= ref))
     per = lambda g, c: F.coalesce(F.sum(F.when(F.col("page_group") == g, F.col(c))), F.lit(0))
     names = {"trade": "trade", "good_detail": "detail", "other": "other"}

@@ -16,7 +16,7 @@ MONEY = "decimal(18,2)"
 
 
 #: Time columns of the facts; ``dt`` is their day.
-TIMES = ("event_time", "entry_time", "visit_time", "search_time", "action_time")
+TIMES = ("event_time", "entry_time", "visit_time", "search_time", "action_time", "order_time", "pay_time")
 
 
 def trailing(df: DataFrame, as_of: str, first: int, last: int = 0) -> DataFrame:
@@ -37,29 +37,45 @@ def _fixed(rate: Column) -> Column:
     return rate.cast(RATE)
 
 
+def trade_events(lines: DataFrame, as_of: str, days: int) -> DataFrame:
+    """Each order line as an event of its order day and, once paid, as one of its payment day; one read serves both.
+
+    Lines of neither day in range leave before the join that may lie below.
+    """
+    recent = lambda day: (day >= F.date_format(F.date_sub(F.lit(as_of).cast("date"), days), "yyyy-MM-dd")) & (day < as_of)
+    paid = (F.col("status") == "PAID") & F.col("pay_time").isNotNull()
+    pay_day = X.day_text("pay_time")
+    event = lambda kind, day: F.struct(F.lit(kind).alias("kind"), day.alias("dt"))
+    events = F.array(event("order", F.col("dt")), F.when(paid, event("pay", pay_day)))
+    return lines.where(recent(F.col("dt")) | (paid & recent(pay_day))).select("product_id", "user_id", "amount", F.inline(F.array_compact(events)))
+
+
+def known_products(*facts: DataFrame) -> DataFrame:
+    """The products that occur in any of the facts, whenever it was."""
+    return reduce(DataFrame.unionByName, [d.select("product_id") for d in facts]).distinct()
+
+
 # The names of the measures.
-def product_days(visit: DataFrame, micro: DataFrame, stay: DataFrame, cart: DataFrame, order: DataFrame, pay: DataFrame,
-                 as_of: str, days: int = 30) -> DataFrame:
+def product_days(visit: DataFrame, micro: DataFrame, stay: DataFrame, cart: DataFrame, trade: DataFrame, known: DataFrame, as_of: str, days: int = 30) -> DataFrame:
     """Thirteen measures per product and day.
 
-    The skeleton of all products times all days, from which empty rows would be
-    dropped again, is never built: the rows that remain are those with at least
-    one measure, which a union and one grouping give. Days and products must
-    still occur in visits, paid orders or carts.
+    ``trade`` holds order and pay events. The skeleton of all products times all days, from which empty rows would be
+    dropped again, is never built: the rows that remain are those with at least one measure, which a union and one
+    grouping give. Products must be ``known`` (``known_products`` of visits, payments and carts), and a day must have a
+    visit, a payment or a cart of any product; the days are read off the rows themselves, at most ``days`` of them.
     """
 
     def rows(df, kind, user=F.lit(None).cast("bigint"), amount=F.lit(0), stay_s=F.lit(0), bounce=F.lit(0)):
-        return trailing(df, as_of, days).select("product_id", "dt", F.lit(kind).alias("kind"), user.alias("user"), amount.cast(MONEY).alias("amount"),
+        return trailing(df, as_of, days).select("product_id", "dt", kind.alias("kind"), user.alias("user"), amount.cast(MONEY).alias("amount"),
                          stay_s.cast(MONEY).alias("stay"), bounce.cast("bigint").alias("bounce"))
 
     user = F.col("user_id")
     facts = reduce(DataFrame.unionByName, [
-        rows(visit, "visit", user),
-        rows(micro, "micro", user),
-        rows(stay.where(F.col("page_type") == "PRODUCT_DETAIL"), "stay", stay_s=F.col("stay_seconds"), bounce=F.col("is_bounce")),
-        rows(cart.where(F.col("action_type") == "ADD"), "cart", user),
-        rows(order, "order", user, F.col("amount")),
-        rows(pay, "pay", user, F.col("amount")),
+        rows(visit, F.lit("visit"), user),
+        rows(micro, F.lit("micro"), user),
+        rows(stay.where(F.col("page_type") == "PRODUCT_DETAIL"), F.lit("stay"), stay_s=F.col("stay_seconds"), bounce=F.col("is_bounce")),
+        rows(cart, F.when(F.col("action_type") == "ADD", "cart").otherwise("uncart"), user),
+        rows(trade, F.col("kind"), user, F.col("amount")),
     ])
     per_user = facts.groupBy("product_id", "dt", "kind", "user").agg(
         F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"), F.sum("stay").alias("stay"), F.sum("bounce").alias("bounce")
@@ -72,17 +88,17 @@ def product_days(visit: DataFrame, micro: DataFrame, stay: DataFrame, cart: Data
         total("stay", "n").alias("_stays"), total("stay", "stay").alias("_stay"), total("stay", "bounce").alias("_bounces"),
         users("cart").alias("cart_add_cnt"), users("order").alias("order_user_cnt"), total("order", "n").alias("order_cnt"),
         total("order", "amount").alias("order_amount"), users("pay").alias("pay_user_cnt"), total("pay", "n").alias("pay_cnt"),
-        total("pay", "amount").alias("pay_amount"),
+        total("pay", "amount").alias("pay_amount"), F.count(F.when(F.col("kind").isin("visit", "pay", "cart", "uncart"), 1)).alias("_open"),
     )
     out = out.withColumn("avg_stay_duration", F.coalesce(_fixed(X.ratio("_stay", "_stays", 4)), F.lit(0).cast(RATE)))
     out = out.withColumn("bounce_rate", F.coalesce(_fixed(X.percent("_bounces", "_stays", 4)), F.lit(0).cast(RATE)))
     activity = sum((F.col(c) for c in ("micro_visit_cnt", "avg_stay_duration", "cart_add_cnt", "order_user_cnt", "pay_user_cnt")), F.col("visit_cnt"))
-    anchors = lambda c, of: reduce(DataFrame.unionByName, [of(d).select(c) for d in (visit, pay, cart)]).distinct()
+    open_days = out.where("_open > 0").agg(F.collect_set("dt")).scalar()
     return (
         out.where(activity > 0)
-        .drop("_stays", "_stay", "_bounces")
-        .join(anchors("product_id", lambda d: d), "product_id", "left_semi")
-        .join(anchors("dt", lambda d: trailing(d, as_of, days)), "dt", "left_semi")
+        .where(F.array_contains(open_days, F.col("dt")))
+        .drop("_stays", "_stay", "_bounces", "_open")
+        .join(known, "product_id", "left_semi")
     )
 
 
@@ -117,7 +133,7 @@ def core_metrics_daily(product_day: DataFrame, as_of: str, days: int = 30) -> Da
 def traffic_days(visit: DataFrame, source: DataFrame, pay: DataFrame, as_of: str, days: int = 30) -> DataFrame:
     """Visitors and payers per product, day and traffic source of the session."""
     sessions = trailing(source, as_of, days).select("session_id", "dt", "source_type").distinct()
-    payers = pay.select("product_id", "dt", "user_id").distinct().withColumn("paid", F.lit(1))
+    payers = trailing(pay, as_of, days).select("product_id", "dt", "user_id").distinct().withColumn("paid", F.lit(1))
     seen = trailing(visit, as_of, days).select("product_id", "dt", "user_id", "session_id").distinct()
     sourced = (
         seen.join(sessions, ["session_id", "dt"], "left")
@@ -178,7 +194,7 @@ def search_days(search: DataFrame, pay: DataFrame, as_of: str, days: int = 30) -
     words = by_user.groupBy("product_id", "dt", "search_keyword").agg(
         F.count("user_id").alias("visit_cnt"), F.sum("n").alias("click_cnt")
     )
-    payers = pay.select("product_id", "dt", "user_id").distinct().groupBy("product_id", "dt").agg(F.count("user_id").alias("pay_user_cnt"))
+    payers = trailing(pay, as_of, days).select("product_id", "dt", "user_id").distinct().groupBy("product_id", "dt").agg(F.count("user_id").alias("pay_user_cnt"))
     return words.join(payers, ["product_id", "dt"], "left").withColumn("pay_user_cnt", X.zero("pay_user_cnt"))
 
 
@@ -244,8 +260,8 @@ def sku_stock(sku_day: DataFrame, inventory: DataFrame, as_of: str, days: int =
 
 def latest_prices(change: DataFrame) -> DataFrame:
     """Prices set on the last change day of each product; all of them when there are several."""
-    last = change.groupBy("product_id").agg(F.max("dt").alias("dt"))
-    return change.join(last, ["product_id", "dt"], "left_semi").select("product_id", "new_price")
+    by_day = change.groupBy("product_id", "dt").agg(F.collect_list(F.struct("new_price")).alias("prices"))
+    return by_day.groupBy("product_id").agg(F.max_by("prices", "dt").alias("prices")).select("product_id", F.inline("prices"))
 
 
 def current_prices(change: DataFrame, product: DataFrame) -> DataFrame:
@@ -257,26 +273,33 @@ def price_percentiles(current: DataFrame, width: float = 10.0) -> DataFrame:
     return cumulative_share(current, ["third_cat_id"], "new_price", width, "price_rank")
 
 
-def price_force_days(pay: DataFrame, visit: DataFrame, change: DataFrame, product: DataFrame, as_of: str, days: int = 30) -> DataFrame:
-    """Price level, market price and conversion per paid product and day; each side aggregated first."""
-    paid = pay.groupBy("product_id", "dt", "user_id").agg(F.sum("amount").alias("a"), F.count("item_id").alias("n"))
-    paid = trailing(paid, as_of, days).groupBy("product_id", "dt").agg(
-        F.sum("a").alias("pay_amount"), F.sum("n").alias("pay_cnt"), F.count("user_id").alias("_payers")
-    )
-    uv = visit.select("product_id", "dt", "user_id").distinct().groupBy("product_id", "dt").agg(F.count("user_id").alias("_uv"))
+def priced_products(change: DataFrame, product: DataFrame) -> DataFrame:
+    """One row per product: its current price, the market price of its category, and its price level (lowest without a price)."""
     current = current_prices(change, product)
-    ranks = price_percentiles(current).groupBy("product_id").agg(F.max("price_rank").alias("price_rank"), F.max("new_price").alias("_price"))
+    own = price_percentiles(current).groupBy("product_id").agg(F.max("price_rank").alias("price_rank"), F.max("new_price").alias("_price"))
     market = current.groupBy("third_cat_id").agg(X.ratio(F.sum("new_price"), F.count("new_price"), 2).cast(MONEY).alias("_market"))
-    out = (
-        paid.join(uv, ["product_id", "dt"], "left")
-        .join(ranks, "product_id", "left")
-        .join(product.select("product_id", "third_cat_id"), "product_id", "left")
-        .join(market, "third_cat_id", "left")
-    )
+    out = product.select("product_id", "third_cat_id").join(own, "product_id", "left").join(market, "third_cat_id", "left")
+    return out.select("product_id", X.price_level("price_rank").alias("price_force_level"), X.zero("_price").cast(MONEY).alias("current_price"),
+                      X.zero("_market").cast(MONEY).alias("market_price"))
+
+
+def price_force_days(pay: DataFrame, visit: DataFrame, priced: DataFrame, as_of: str, days: int = 30) -> DataFrame:
+    """Price level, market price and conversion per paid product and day; payments and visits are one union, grouped by user first."""
+    none = F.lit(None).cast(MONEY)
+    paid = trailing(pay, as_of, days).select("product_id", "dt", "user_id", F.lit(1).alias("_paid"), F.col("item_id").isNotNull().cast("int").alias("_line"), F.col("amount").cast(MONEY).alias("amount"))
+    seen = trailing(visit, as_of, days).select("product_id", "dt", "user_id", F.lit(0).alias("_paid"), F.lit(0).alias("_line"), none.alias("amount"))
+    users = paid.unionByName(seen).groupBy("product_id", "dt", "user_id").agg(
+        F.max("_paid").alias("_paid"), F.max(F.when(F.col("_paid") == 0, 1)).alias("_saw"), F.sum("_line").alias("n"), F.sum("amount").alias("a"))
+    known = F.col("user_id").isNotNull()
+    out = users.groupBy("product_id", "dt").agg(
+        F.sum("a").alias("pay_amount"), F.sum("n").alias("pay_cnt"), F.max("_paid").alias("_any"),
+        F.count(F.when(known & (F.col("_paid") == 1), 1)).alias("_payers"), F.count(F.when(known, F.col("_saw"))).alias("_uv"))
+    out = out.where("_any = 1").join(priced, "product_id", "left")
+    zero = lambda name: F.coalesce(name, F.lit(0).cast(MONEY))
     return out.select(
-        "product_id", "dt", X.price_level("price_rank").alias("price_force_level"), X.zero("_price").cast(MONEY).alias("current_price"),
-        X.zero("_market").cast(MONEY).alias("market_price"), F.coalesce(X.percent("_payers", "_uv", 2).cast(MONEY), F.lit(0).cast(MONEY)).alias("pay_conversion"),
-        "pay_amount", "pay_cnt",
+        "product_id", "dt", F.coalesce("price_force_level", X.price_level(F.lit(None).cast("double"))).alias("price_force_level"),
+        zero("current_price").alias("current_price"), zero("market_price").alias("market_price"),
+        F.coalesce(X.percent("_payers", "_uv", 2).cast(MONEY), F.lit(0).cast(MONEY)).alias("pay_conversion"), "pay_amount", "pay_cnt",
     )
 
 

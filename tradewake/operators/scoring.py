@@ -54,15 +54,25 @@ def service_score(df: DataFrame) -> DataFrame:
     return _score(df, "service_score", weighted(SERVICE))
 
 
+def graded(scores: DataFrame) -> DataFrame:
+    """Total and grade beside the five scores of a row; the grade is taken from the uncapped sum."""
+    total = weighted(TOTAL)
+    return scores.withColumn("grade", X.grade(total)).withColumn("total_score", F.round(X.capped(total), 2).cast(SCORE))
+
+
+def all_scores(inputs: DataFrame) -> DataFrame:
+    """The five scores, total and grade of rows that hold all inputs: columns of one row, no join."""
+    scored = service_score(acquisition_score(engagement_score(conversion_score(traffic_score(inputs)))))
+    return graded(scored)
+
+
 def evaluation(traffic: DataFrame, conversion: DataFrame, engagement: DataFrame, acquisition: DataFrame, service: DataFrame) -> DataFrame:
-    """Scores side by side with total and grade; the grade is taken from the uncapped sum.
+    """The scores of five tables of their own side by side, with total and grade.
 
-    All joins share the keys, so each side is shuffled once.
+    All joins share the keys, so each side is shuffled once. Where the inputs are one table, ``all_scores`` needs no join.
     """
     sides = [d.select(*KEYS, s) for d, s in zip((traffic, conversion, engagement, acquisition, service), SCORES)]
-    joined = reduce(lambda a, b: a.join(b, KEYS), sides)
-    total = weighted(TOTAL)
-    return joined.withColumn("grade", X.grade(total)).withColumn("total_score", F.round(X.capped(total), 2).cast(SCORE))
+    return graded(reduce(lambda a, b: a.join(b, KEYS), sides))
 
 
 def _avg(c: str) -> Column:
@@ -76,17 +86,13 @@ def with_market(evaluated: DataFrame, product: DataFrame) -> DataFrame:
     return named.join(market, ["date_key", "category_name"])
 
 
-def diagnosis(evaluated: DataFrame, traffic: DataFrame, conversion: DataFrame, acquisition: DataFrame, service: DataFrame) -> DataFrame:
-    """Wide row per product and day with gaps to the market and the main inputs."""
-    out = (
-        evaluated.join(traffic.select(*KEYS, F.col("total_uv").alias("uv_count")), KEYS)
-        .join(conversion.select(*KEYS, "pay_conversion_rate", "cart_conversion_rate"), KEYS)
-        .join(acquisition.select(*KEYS, "new_buyer_ratio", "refund_rate"), KEYS)
-        .join(service.select(*KEYS, "pic_review_count"), KEYS)
-    )
+def diagnosis(evaluated: DataFrame) -> DataFrame:
+    """Gaps to the market and the main inputs beside the scores; ``evaluated`` holds the inputs and the market score."""
     market = F.col("market_avg_score")
-    return out.withColumn("traffic_score_diff", F.col("traffic_score") - market).withColumn(
-        "conversion_score_diff", F.col("conversion_score") - market
+    return evaluated.select(
+        *KEYS, *SCORES, "total_score", "grade", "product_name", "category_name", "brand_name", "market_avg_score", F.col("total_uv").alias("uv_count"),
+        "pay_conversion_rate", "cart_conversion_rate", "new_buyer_ratio", "refund_rate", "pic_review_count",
+        (F.col("traffic_score") - market).alias("traffic_score_diff"), (F.col("conversion_score") - market).alias("conversion_score_diff"),
     )
 
 
@@ -96,7 +102,7 @@ def grade_ranks(diagnosed: DataFrame, first: str | None = None, last: str | None
         diagnosed = diagnosed.where(F.col("date_key") >= F.lit(first).cast("date"))
     if last is not None:
         diagnosed = diagnosed.where(F.col("date_key") <= F.lit(last).cast("date"))
-    return numbered(diagnosed, ["grade", "date_key"], "total_score", 1.0, "product_id", 10_000, "rk")
+    return numbered(diagnosed, ["grade", "date_key"], "total_score", "product_id", 10_000, "rk")
 
 
 def grade_top(diagnosed: DataFrame) -> DataFrame:
@@ -120,13 +126,20 @@ def grade_days(diagnosed: DataFrame) -> DataFrame:
 
 
 def competitors(diagnosed: DataFrame) -> DataFrame:
-    """Rank of each score inside category and day; ties share the best rank."""
-    measures = F.explode(F.array(*[F.struct(F.lit(s).alias("measure"), F.col(s).alias("score")) for s in SCORES])).alias("m")
-    long = diagnosed.select(*KEYS, "category_name", measures).select(*KEYS, "category_name", "m.measure", "m.score")
-    ranks = ranked(long, ["date_key", "category_name", "measure"], "score", 1.0).groupBy(*KEYS).agg(
-        *[F.max(F.when(F.col("measure") == s, F.col("rank"))).alias(s.replace("_score", "_rank")) for s in SCORES]
+    """Rank of each score inside category and day; ties share the best rank.
+
+    A product has a row for each measure; one histogram of scores serves all measures. The product's own columns travel
+    with its first row, so ranks meet them again in one grouping.
+    """
+    own = ["product_name", "category_name", "grade", *SCORES, "total_score", "market_avg_score"]
+    row = lambda s: F.struct(
+        F.lit(s).alias("measure"), F.col(s).alias("score"), F.when(F.lit(s == SCORES[0]), F.struct(*[c for c in own if c != "category_name"])).alias("own"))
+    long = diagnosed.select(*KEYS, "category_name", F.inline(F.array(*map(row, SCORES))))
+    ranks = ranked(long, ["date_key", "category_name", "measure"], "score").groupBy(*KEYS, "category_name").agg(
+        F.max("own").alias("own"), *[F.max(F.when(F.col("measure") == s, F.col("rank"))).alias(s.replace("_score", "_rank")) for s in SCORES]
     )
-    out = diagnosed.select(*KEYS, "product_name", "category_name", "grade", *SCORES, "total_score", "market_avg_score").join(ranks, KEYS)
+    places = [s.replace("_score", "_rank") for s in SCORES]
+    out = ranks.select(*KEYS, *[F.col(c) if c == "category_name" else F.col(f"own.{c}") for c in own], *places)
     return out.withColumn("total_score_diff", F.col("total_score") - F.col("market_avg_score"))
 
 

@@ -64,16 +64,18 @@ def latest_refund(refund: DataFrame) -> DataFrame:
     return latest(refund, ["order_id"], ["refund_create_time", "refund_id"])
 
 
-def enrich_orders(orders: DataFrame, sku: DataFrame, spu: DataFrame, category: DataFrame, trademark: DataFrame,
-                  user: DataFrame, province: DataFrame) -> DataFrame:
-    """Six lookups in turn, fields prefixed ``dim_``; later keys come from the earlier lookups."""
-    out = look_up(orders, sku, "sku_id", "id", "dim_")
-    keys = {"spu_id": "dim_spu_id", "category3_id": "dim_category3_id", "tm_id": "dim_tm_id"}
-    for plain, found in keys.items():
-        out = out.withColumn(plain, F.col(found))
-    out = look_up(out, spu, "spu_id", "id", "dim_spu_")
-    out = look_up(out, category, "category3_id", "id", "dim_category3_")
-    out = look_up(out, trademark, "tm_id", "id", "dim_tm_")
+def item_dimension(sku: DataFrame, spu: DataFrame, category: DataFrame, trademark: DataFrame) -> DataFrame:
+    """Items with all that hangs on them, so that facts look an item up once: a layer to be built when the catalog changes."""
+    out = look_up(sku, spu, "spu_id", "id", "spu_")
+    out = look_up(out, category, "category3_id", "id", "category3_")
+    return look_up(out, trademark, "tm_id", "id", "tm_")
+
+
+def enrich_orders(orders: DataFrame, item: DataFrame, user: DataFrame, province: DataFrame) -> DataFrame:
+    """Lookups of item (``item_dimension``), user and province, fields prefixed ``dim_``; the item's own keys come without prefix too."""
+    out = look_up(orders, item, "sku_id", "id", "dim_")
+    for key in ("spu_id", "category3_id", "tm_id"):
+        out = out.withColumn(key, F.col(f"dim_{key}"))
     out = look_up(out, user, "user_id", "id", "dim_user_")
     return look_up(out, province, "province_id", "id", "dim_province_")
 

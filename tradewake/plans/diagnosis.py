@@ -26,17 +26,18 @@ INPUTS = {
 }
 
 
-def side(day, name: str):
+def inputs(day, *names: str):
+    """The inputs of some scores as columns of a product day."""
     cols = []
-    for out, (expr, per) in INPUTS[name].items():
-        value = F.expr(expr)
-        cols.append((value if per is None else X.ratio(value, F.lit(per), 4)).alias(out))
+    for name in names:
+        for out, (expr, per) in INPUTS[name].items():
+            value = F.expr(expr)
+            cols.append((value if per is None else X.ratio(value, F.lit(per), 4)).alias(out))
     return day.select("product_id", F.to_date("dt").alias("date_key"), *cols)
 
 
-def scored(t: Tables) -> dict:
-    day = t.stored("product_day", lambda: product_day(t))
-    return {name: getattr(S, f"{name}_score")(side(day, name)) for name in INPUTS}
+def days(t: Tables):
+    return t.stored("product_day", lambda: product_day(t))
 
 
 def side_sql(name: str, weights: dict, factor: str = "") -> str:
@@ -79,12 +80,11 @@ def as_double(*names: str) -> str:
 
 for _name in INPUTS:
     query(f"score_{_name}", sql(f"SELECT {as_double(f'{_name}_score')} FROM {_name}", **DAY_STEPS, **{_name: SIDES[_name]}))(
-        lambda t, name=_name: scored(t)[name])
+        lambda t, name=_name: getattr(S, f"{name}_score")(inputs(product_day(t), name)))
 
 
-def evaluated(t: Tables):
-    s = scored(t)
-    return S.evaluation(s["traffic"], s["conversion"], s["engagement"], s["acquisition"], s["service"])
+def evaluated(day):
+    return S.all_scores(inputs(day, *INPUTS))
 
 
 def diagnosed(t: Tables):
@@ -92,15 +92,13 @@ def diagnosed(t: Tables):
 
 
 def build_diagnosis(t: Tables):
-    s = scored(t)
     product = t.dim_item.select(c("item_id").alias("product_id"), c("item_name").alias("product_name"), "category_name", "brand_name")
-    total = S.evaluation(s["traffic"], s["conversion"], s["engagement"], s["acquisition"], s["service"])
-    return S.diagnosis(S.with_market(total, product), s["traffic"], s["conversion"], s["acquisition"], s["service"])
+    return S.diagnosis(S.with_market(evaluated(days(t)), product))
 
 
 @query("product_evaluation", sql(f"SELECT {as_double(*S.SCORES, 'total_score')} FROM evaluation", **STEPS))
 def product_evaluation(t):
-    return evaluated(t)
+    return evaluated(product_day(t)).select(*S.KEYS, *S.SCORES, "total_score", "grade")
 
 
 DIAG_DOUBLES = (*S.SCORES, "total_score", "market_avg_score", "traffic_score_diff", "conversion_score_diff")

@@ -211,7 +211,9 @@ def order_enrich(t):
     d = c("detail_id")
     key = F.when(d % 53 == 0, F.lit(None)).when(d % 59 == 0, F.lit(" ")).otherwise(c("product_id").cast("string"))
     orders = t.order_item.select("detail_id", key.alias("sku_id"), "user_id", (c("user_id") % 25).alias("province_id"))
-    return J.enrich_orders(orders, *catalog(t)).select(
+    *parts, user, province = catalog(t)
+    item = t.stored("item_dimension", lambda: J.item_dimension(*parts))
+    return J.enrich_orders(orders, item, user, province).select(
         "detail_id", "sku_id", "dim_sku_name", "spu_id", "dim_spu_spu_name", "category3_id", "dim_category3_name", "tm_id",
         "dim_tm_tm_name", "dim_user_name", "dim_user_user_level", "dim_province_name")
 

@@ -207,6 +207,10 @@ class Tables:
         )
         return line.join(head, "order_id")
 
+    def share_lines(self) -> None:
+        """From now on order lines with their heads are a stored layer, for queries that read them as orders, payments and refunds."""
+        self.__dict__["order_item"] = self.stored("order_item", lambda: self.order_item)
+
     @cached_property
     def payment(self) -> DataFrame:
         o = F.col("order_id")
