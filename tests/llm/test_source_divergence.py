@@ -27,10 +27,14 @@ def test_perfect_hash(keys):
     assert ((made.slots(other) >= -1) & (made.slots(other) < max(1, len(keys)))).all()
 
 
-def test_hashes_are_those_of_spark(spark):
-    rows = [("en", "word"), ("", "x"), ("fr", "été" * 40), ("de", "a")]
-    got = spark.createDataFrame(rows, "lang string, term string").select("lang", "term", F.xxhash64("lang", "term").alias("h")).collect()
-    assert all(sd.hashes(r["lang"], [r["term"].encode()]).view(np.int64)[0] == r["h"] for r in got)
+@given(st.lists(st.text("abé的", min_size=1, max_size=12), max_size=40))
+def test_words_are_found_and_hashed_alike_wherever_they_stand(words):
+    data = np.frombuffer(("  ".join([*words, *words[::-1]]) + " ").encode(), np.uint8)
+    starts, sizes, hashed = sd.tokens(data)
+    got = [data[a : a + n].tobytes().decode() for a, n in zip(starts, sizes)]
+    assert got == [*words, *words[::-1]]
+    assert len(set(zip(got, hashed.tolist()))) == len(set(got)) == len(set(hashed.tolist()))
+    assert (sd.hashes("en", [w.encode() for w in words]) == sd.mixed(hashed[: len(words)] + sd._seed("en"))).all()
 
 
 @given(st.text())

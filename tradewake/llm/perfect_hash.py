@@ -20,14 +20,15 @@ class PerfectHash:
         self.before = np.split(before, np.cumsum([len(c) for c in counts])[:-1]) if counts else []
 
     @staticmethod
-    def _places(keys: np.ndarray, level: int, words: int) -> np.ndarray:
-        return mixed(keys + np.uint64(_STEP * (level + 1) % (1 << 64))) % np.uint64(words * 64)
+    def places(keys: np.ndarray, level: int, words: int | np.ndarray) -> np.ndarray:
+        """The bit of each key in a level of so many words."""
+        return mixed(keys + np.uint64(_STEP * (level + 1) % (1 << 64))) % np.asarray(words * 64).astype(np.uint64)
 
     def _levels(self, keys: np.ndarray):
         level = 0
         while len(keys):
             words = -(-len(keys) // 32)
-            at = self._places(keys, level, words)
+            at = self.places(keys, level, words)
             alone = np.bincount(at.astype(np.int64), minlength=words * 64)[at.astype(np.int64)] == 1
             bits = np.zeros(words, np.uint64)
             np.bitwise_or.at(bits, (at[alone] >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at[alone] & np.uint64(63)))
@@ -37,7 +38,7 @@ class PerfectHash:
     def slots(self, keys: np.ndarray) -> np.ndarray:
         out, todo = np.full(len(keys), -1, np.int64), np.arange(len(keys))
         for level, (bits, before) in enumerate(zip(self.bits, self.before)):
-            at = self._places(keys[todo], level, len(bits))
+            at = self.places(keys[todo], level, len(bits))
             word, bit = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
             hit = (bits[word] >> bit & np.uint64(1)).astype(bool)
             below = bits[word[hit]] & ((np.uint64(1) << bit[hit]) - np.uint64(1))

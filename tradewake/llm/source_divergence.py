@@ -24,6 +24,7 @@ from tradewake.llm import bloom
 from tradewake.llm.byte_bpe import pieces_of
 from tradewake.llm.frames import column, gathered, store
 from tradewake.llm.perfect_hash import PerfectHash
+from tradewake.llm.words import mixed
 
 #: Slots and bytes of a term that are broadcast at most; terms of a shard; terms and sources of a block of pairs.
 SLOTS, TERM_BYTES, SHARD, BLOCK, TILE = 1 << 19, 64, 1 << 15, 1 << 12, 128
@@ -39,10 +40,45 @@ def terms(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_LETTERS).split()
 
 
+@lru_cache(maxsize=2)
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first 2 ** bits powers, modulo 2 ** 64, of an odd number and of its inverse."""
+    base = 0x9E3779B97F4A7C15
+    out = []
+    for x in (base, pow(base, -1, 1 << 64)):
+        row = np.full(1 << bits, x, np.uint64)
+        row[0] = 1
+        out.append(np.multiply.accumulate(row))
+    return out[0], out[1]
+
+
+def tokens(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, size, hash) of the words of a text of bytes in which spaces separate words; equal words have equal hashes."""
+    edge = np.diff((data != 32).astype(np.int8), prepend=0, append=0)
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    power, inverse = _powers(max(18, len(data).bit_length()))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(data * power[: len(data)])))
+    return starts, ends - starts, (sums[ends] - sums[starts]) * inverse[starts]
+
+
+def _seed(lang: str) -> np.uint64:
+    return np.uint64(xxhash.xxh3_64_intdigest(lang.encode()))
+
+
 def hashes(lang: str, words: list[bytes]) -> np.ndarray:
-    """Spark's xxhash64(lang, term)."""
-    seed = xxhash.xxh64_intdigest(lang.encode(), 42)
-    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+    """The key of each word in its language."""
+    return mixed(tokens(np.frombuffer(b" ".join(words), np.uint8))[2] + _seed(lang))
+
+
+def _hashed(batches):
+    for batch in batches:
+        out = np.zeros(batch.num_rows, np.uint64)
+        langs = np.array(batch.column("lang").to_pylist(), object)
+        words = np.array([t.encode() for t in batch.column("term").to_pylist()], object)
+        for lang in set(langs.tolist()):
+            own = np.flatnonzero(langs == lang)
+            out[own] = hashes(lang, words[own].tolist())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out.view(np.int64))], names=[*batch.schema.names, "h"])
 
 
 def _holders(batches):
@@ -70,7 +106,7 @@ def kept_terms(docs: DataFrame, min_docs: int) -> DataFrame:
     """(lang, term, docs, h): the terms that at least ``min_docs`` rows of a language hold."""
     found = docs.select("lang", "text").mapInArrow(_holders, "lang string, term string, n long")
     kept = found.groupBy("lang", "term").agg(F.sum("n").alias("docs")).where(F.col("docs") >= min_docs)
-    return store(kept.withColumn("h", F.xxhash64("lang", "term")), "divergence-terms")
+    return store(kept.mapInArrow(_hashed, "lang string, term string, docs long, h long"), "divergence-terms")
 
 
 def _shard(frame: pd.DataFrame) -> pd.DataFrame:
@@ -87,12 +123,25 @@ def _shard(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 class Shards:
-    """Perfect hashes with stored terms; a slot's ``local`` number counts the slots of its language from 0."""
+    """Perfect hashes with stored terms; a slot's ``local`` number counts the slots of its language from 0.
+
+    The levels of all shards lie in common arrays, so that keys of all shards are looked up together.
+    """
 
     def __init__(self, rows: list):
-        self.hashes = [PerfectHash(bits=[np.frombuffer(b, np.uint64) for b in r["bits"]]) for r in rows]
+        made = [PerfectHash(bits=[np.frombuffer(b, np.uint64) for b in r["bits"]]) for r in rows]
+        self.shards, levels = np.uint64(len(made)), max([1, *(len(m.bits) for m in made)])
+        self.words, self.offset = np.zeros((levels, len(made)), np.int64), np.zeros((levels, len(made)), np.int64)
         sizes = [np.frombuffer(r["sizes"], "<i4").astype(np.int64) for r in rows]
-        self.base = np.cumsum([0, *map(len, sizes)])
+        base = np.cumsum([0, *map(len, sizes)])
+        bits, before, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+        for k, m in enumerate(made):
+            for level, (b, ranks) in enumerate(zip(m.bits, m.before)):
+                self.words[level, k], self.offset[level, k] = len(b), n
+                bits.append(b)
+                before.append(ranks + base[k])
+                n += len(b)
+        self.bits, self.before = np.concatenate(bits), np.concatenate(before)
         every = np.concatenate([np.zeros(0, np.int64), *sizes])
         ends = np.cumsum(every)
         self.starts, self.sizes, self.flat = ends - every, every, np.frombuffer(b"".join(bytes(r["flat"]) for r in rows), np.uint8)
@@ -106,6 +155,22 @@ class Shards:
         self.slots_of = {lang: by_lang[self.lang_of[by_lang] == k] for lang, k in number.items()}
         self.number = number
 
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each key in its shard; any slot or -1 for a key that was not built in."""
+        out, todo, shard = np.full(len(keys), -1, np.int64), np.arange(len(keys)), (keys % self.shards).astype(np.int64)
+        for level, (words, offset) in enumerate(zip(self.words, self.offset)):
+            here = words[shard]
+            if not here.all():
+                todo, shard, here = todo[here > 0], shard[here > 0], here[here > 0]
+            at = PerfectHash.places(keys[todo], level, here)
+            word, bit = offset[shard] + (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
+            held = self.bits[word]
+            hit = (held >> bit & np.uint64(1)).astype(bool)
+            below = held[hit] & ((np.uint64(1) << bit[hit]) - np.uint64(1))
+            out[todo[hit]] = self.before[word[hit]] + np.bitwise_count(below)
+            todo, shard = todo[~hit], shard[~hit]
+        return out
+
     def terms(self, slots: np.ndarray) -> pa.Array:
         ends = np.concatenate(([0], np.cumsum(self.sizes[slots]))).astype(np.int32)
         return pa.StringArray.from_buffers(len(slots), pa.py_buffer(ends), pa.py_buffer(gathered(self.flat, self.starts[slots], self.sizes[slots])))
@@ -119,43 +184,26 @@ class Shards:
         out[at[np.repeat(np.arange(len(at)), size)[differs]]] = False
         return out
 
-    def find(self, lang: str, words: list[bytes], keys: np.ndarray) -> np.ndarray:
-        """Local numbers of the words, -1 for those that are not stored."""
-        out, own = np.full(len(words), -1, np.int64), self.number.get(lang)
+    def find(self, lang: str, keys: np.ndarray, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Local numbers of the words ``flat[start:start + size]`` with their keys, -1 for those that are not stored."""
+        out, own = np.full(len(keys), -1, np.int64), self.number.get(lang)
         if own is None:
             return out
-        part = keys % np.uint64(len(self.hashes))
-        slot = np.full(len(words), -1, np.int64)
-        for k, made in enumerate(self.hashes):
-            at = np.flatnonzero(part == k)
-            got = made.slots(keys[at])
-            slot[at] = np.where(got < 0, -1, got + self.base[k])
+        slot = self.slots(keys)
         at = np.flatnonzero(slot >= 0)
         at = at[self.lang_of[slot[at]] == own]
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        same = self._same(slot[at], np.frombuffer(b"".join(words), np.uint8), (np.cumsum(sizes) - sizes)[at], sizes[at])
-        out[at[same]] = self.local[slot[at[same]]]
+        same = at[self._same(slot[at], flat, starts[at], sizes[at])]
+        out[same] = self.local[slot[same]]
         return out
 
 
-class _Known(dict):
-    """Term -> local number, -1 for a term that is not kept, -2 for one that may be kept beyond the shards."""
-
-    def add(self, shards: Shards, bits: np.ndarray, lang: str, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        keys = hashes(lang, new)
-        got = shards.find(lang, new, keys)
-        got[(got < 0) & bloom.held(bits, keys.view(np.int64))] = -2
-        self.update(zip(new, got.tolist()))
-
-
 def recount(docs: DataFrame, shards, bits) -> DataFrame:
     """(lang, source, term, n, head): occurrences of the stored terms, and (head false) of those that may be kept beyond them."""
 
     name = uuid.uuid4().hex
 
     def run(batches):
-        held, known = loaded(name, shards), defaultdict(_Known)
+        held, filled = loaded(name, shards), bits.value.any()
         dense: dict[tuple, np.ndarray] = {}
         counted = 0  # what a slot can hold at most is handed over before it is full
         other: dict[tuple, Counter] = defaultdict(Counter)
@@ -176,25 +224,27 @@ def recount(docs: DataFrame, shards, bits) -> DataFrame:
 
         for batch in batches:
             for part in pieces_of(batch, pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False), CHUNK):
-                words = defaultdict(list)
+                texts = defaultdict(list)
                 for lang, source, text in zip(*(part.column(c).to_pylist() for c in ("lang", "source", "text"))):
-                    words[lang, source] += terms(text)
-                for key, got in words.items():
-                    memo = known[key[0]]
-                    memo.add(held, bits.value, key[0], set(got))
-                    slots = np.fromiter(map(memo.__getitem__, got), np.int64, len(got))
+                    texts[lang, source].append(text.encode("utf-8", "surrogatepass").translate(_LETTERS))
+                for key, own in texts.items():
+                    data = np.frombuffer(b" ".join(own), np.uint8)
+                    starts, sizes, hashed = tokens(data)
+                    keys = mixed(hashed + _seed(key[0]))
+                    slots = held.find(key[0], keys, data, starts, sizes)
                     if (slots >= 0).any():
                         if key not in dense:
                             dense[key] = np.zeros(len(held.slots_of[key[0]]), np.int32)
                         np.add.at(dense[key], slots[slots >= 0], 1)
                         counted += len(slots)
-                    if (slots == -2).any():
-                        other[key].update([got[k] for k in np.flatnonzero(slots == -2).tolist()])
+                    if filled:
+                        rest = np.flatnonzero(slots < 0)
+                        rest = rest[bloom.held(bits.value, keys[rest].view(np.int64))]
+                        raw = data.tobytes()
+                        other[key].update(raw[a : a + n] for a, n in zip(starts[rest].tolist(), sizes[rest].tolist()))
                     if sum(map(len, dense.values())) > DENSE or sum(map(len, other.values())) > DISTINCT or counted > 1 << 30:
                         yield from flush()
                         counted = 0
-                if sum(map(len, known.values())) > 2 * DISTINCT:
-                    known.clear()
         yield from flush()
 
     return docs.select("lang", "source", "text").mapInArrow(run, PARTIAL)
@@ -218,7 +268,7 @@ def _count_terms(docs: DataFrame, kept: DataFrame, slots: int) -> DataFrame:
             break
         total, lowest = total + r["count"], r["band"]
     head = kept.where(band >= lowest)
-    # the xxhash64 of a language and a term is unsigned here: its remainder is taken digit by digit in base 2 ** 32
+    # keys are unsigned: the remainder is taken digit by digit in base 2 ** 32
     n = max(1, -(-total // SHARD))
     high, low = F.shiftrightunsigned("h", 32), F.col("h").bitwiseAND((1 << 32) - 1)
     shard = ((high % n) * ((1 << 32) % n) + low) % n
