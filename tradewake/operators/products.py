@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tradewake.functions import exprs as X
 from tradewake.operators.cdc import latest
 from tradewake.operators.positions import cumulative_share
+from tradewake.session import store
 
 RATE = "decimal(18,4)"
 MONEY = "decimal(18,2)"
@@ -93,6 +94,7 @@ def product_days(visit: DataFrame, micro: DataFrame, stay: DataFrame, cart: Data
     out = out.withColumn("avg_stay_duration", F.coalesce(_fixed(X.ratio("_stay", "_stays", 4)), F.lit(0).cast(RATE)))
     out = out.withColumn("bounce_rate", F.coalesce(_fixed(X.percent("_bounces", "_stays", 4)), F.lit(0).cast(RATE)))
     activity = sum((F.col(c) for c in ("micro_visit_cnt", "avg_stay_duration", "cart_add_cnt", "order_user_cnt", "pay_user_cnt")), F.col("visit_cnt"))
+    out = store(out, "product-days")  # read twice below
     open_days = out.where("_open > 0").agg(F.collect_set("dt")).scalar()
     return (
         out.where(activity > 0)
