@@ -66,6 +66,8 @@ def trade_rows(frame):
 def test_joined_trade_windows_match_the_table(spark, frame, rows):
     events = trade_rows(frame)
     table = W.labelled(W.joined_stats(W.order_stats(events), W.payment_stats(events), W.refund_stats(events)))
+    once = W.labelled(W.trade_windows(events))
+    assert rows(once, *table.columns) == rows(table)
     s = as_files(events, spark, 2).withWatermark("ts", "10 minutes")
     joined = W.labelled(W.joined_stats(W.order_stats(s), W.payment_stats(s), W.refund_stats(s)))
     got = runner.to_table(joined, "joined")

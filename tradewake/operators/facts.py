@@ -8,20 +8,18 @@ from pyspark.sql import functions as F
 from tradewake.functions import exprs as X
 
 
-SALTS = 32
+def labelled(fact: DataFrame, key: str, **labels: Column) -> DataFrame:
+    """Fact INNER JOIN a dimension of fixed values whose fields follow from its key: the fields as expressions, rows without a key leave.
 
+    The fact stays where it is; a join on a key of few values would send it to as many tasks.
+    """
+    return fact.where(F.col(key).isNotNull()).withColumns(labels)
 
-def spread(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Join on a key of few values, each dealt out over SALTS tasks; the dim has a row per value and is repeated for each."""
-    plain = [c for c, kind in fact.dtypes if "map<" not in kind]
-    salted = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return fact.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(SALTS)).cast("int")).join(salted, [key, "_salt"], how).drop("_salt")
 
-
-def star(fact: DataFrame, dims: list[tuple[DataFrame, str]], few: tuple[str, ...] = ()) -> DataFrame:
-    """Fact INNER JOIN each (dim, key); keys named in ``few`` have few values and are spread."""
+def star(fact: DataFrame, dims: list[tuple[DataFrame, str]]) -> DataFrame:
+    """Fact INNER JOIN each (dim, key)."""
     for dim, key in dims:
-        fact = spread(fact, dim, key) if key in few else fact.join(dim, key)
+        fact = fact.join(dim, key)
     return fact
 
 
@@ -36,13 +34,16 @@ def with_activity(payment: DataFrame) -> DataFrame:
     return payment.withColumn("activity_id", X.activity_id(*flags)).withColumn("activity_name", X.activity_name(*flags))
 
 
-def payment_activity(payment: DataFrame, method: DataFrame, item: DataFrame, order_line: DataFrame,
-                     activity: DataFrame) -> DataFrame:
-    """Payments with ordered quantity (1 when unknown) and the activity behind the flags."""
+def payment_activity(payment: DataFrame, item: DataFrame, order_line: DataFrame, activity: DataFrame) -> DataFrame:
+    """Payments with their method, ordered quantity (1 when unknown) and the activity behind the flags.
+
+    ``activity`` should be a stored table: Spark then knows that it is small, and sends it to the payments.
+    """
     quantity = order_line.groupBy("order_id", "item_id").agg(F.sum("quantity").alias("quantity"))
     keyed = payment.withColumn("activity_id", X.activity_id("is_group_buy", "is_presale", "presale_stage"))
     return (
-        spread(spread(keyed, method, "payment_method").join(item, "item_id").join(quantity, ["order_id", "item_id"], "left"), activity, "activity_id", "left")
+        labelled(keyed, "payment_method", method_name=X.method_name("payment_method"))
+        .join(item, "item_id").join(quantity, ["order_id", "item_id"], "left").join(activity, "activity_id", "left")
         .withColumn("quantity", F.coalesce("quantity", F.lit(1)))
     )
 

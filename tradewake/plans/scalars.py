@@ -8,7 +8,7 @@ from tradewake.functions import exprs as X
 from tradewake.operators import dims as D
 from tradewake.plans.oracle import percent, ratio, rounded, sql
 from tradewake.plans.registry import query
-from tradewake.sources.tables import AS_OF, Tables
+from tradewake.sources.tables import AS_OF, Tables, log_text_view
 
 c = F.col
 
@@ -90,8 +90,9 @@ def fn_sequence(t):
 def fn_nested(t):
     from tradewake.operators.routing import having, parse_log
 
-    rows = having(parse_log(t.log_text), "page").withColumn("m", F.create_map(F.lit("id"), c("event_id").cast("string")))
-    return rows.join(t.log.select("event_id", "k"), "event_id").select(c("m")["id"].cast("bigint").alias("event_id"), "rec.common.mid", "rec.page.page_id", "k")
+    text = log_text_view(t.log, "k")
+    rows = having(parse_log(text), "page").withColumn("m", F.create_map(F.lit("id"), c("event_id").cast("string")))
+    return rows.select(c("m")["id"].cast("bigint").alias("event_id"), "rec.common.mid", "rec.page.page_id", "k")
 
 
 @query("fn_ratio", sql(f"""

@@ -64,8 +64,7 @@ def win_refund_stats(t):
     SELECT * FROM os LEFT JOIN ps USING (stt, edt, sku_id, category3_id, tm_id) LEFT JOIN rs USING (stt, edt, sku_id, category3_id, tm_id)""",
     os=ORDER_STATS, ps=PAYMENT_STATS, rs=REFUND_STATS))
 def trade_stats_joined(t):
-    e = trade_events(t)
-    return W.labelled(W.joined_stats(W.order_stats(e), W.payment_stats(e), W.refund_stats(e)))
+    return W.labelled(W.trade_windows(trade_events(t)))
 
 
 # ---- 10-second behaviour windows ---------------------------------------------

@@ -17,8 +17,9 @@ from tradewake.sources.tables import METHODS, Tables
 c = F.col
 
 
-def envelopes(t: Tables):
-    return C.parse(t.cdc_text)
+def envelopes(t: Tables, table: str | None = None):
+    """The change topic, parsed; of one table, its messages only, told by their topic key before any text is parsed."""
+    return C.parse(t.cdc_text if table is None else t.cdc_text.where(c("source_table") == table))
 
 
 @query("src_cdc_envelope", sql("""
@@ -83,7 +84,7 @@ CDC_SQL = {
         FROM order_info WHERE status = 'REFUNDED' AND (order_id + 1) % 4 <> 3""",
 }
 for _name, _table in [("order", "order_info"), ("payment", "payment_info"), ("refund", "refund_info")]:
-    query(f"cdc_project_{_name}", sql(CDC_SQL[_name]))(lambda t, table=_table: C.project(envelopes(t), table))
+    query(f"cdc_project_{_name}", sql(CDC_SQL[_name]))(lambda t, table=_table: C.project(envelopes(t, table), table))
 
 
 @query("snapshot_rows", sql("SELECT tbl AS source_table, key AS position FROM cdc_op WHERE op = 'r'"))
@@ -346,12 +347,6 @@ def paid_detail(t: Tables):
 # ---- star joins ------------------------------------------------------------
 
 
-def dim_terminal(t: Tables):
-    from tradewake.operators.dims import terminals
-
-    return terminals([t.visit, t.micro]).select("terminal", "device_type")
-
-
 def dim_method(t: Tables):
     return D.distinct_labelled(t.payment, "payment_method", X.method_name("payment_method"), "method_name")
 
@@ -369,7 +364,7 @@ DEVICE = "CASE WHEN terminal = 'PC' THEN 'PC' ELSE 'Mobile' END"
            i.category_id, CAST(i.price AS DOUBLE) AS price FROM visit v JOIN dim_item i ON v.product_id = i.item_id"""))
 def dwd_item_visit(t):
     fact = item_keyed(t.visit.drop("device_type")).withColumnRenamed("log_id", "visit_id")
-    return A.star(fact, [(t.dim_item.select("item_id", "category_id", "price"), "item_id"), (dim_terminal(t), "terminal")], few=("terminal",)).select(
+    return A.star(A.labelled(fact, "terminal", device_type=X.device_type("terminal")), [(t.dim_item.select("item_id", "category_id", "price"), "item_id")]).select(
         "visit_id", "user_id", "item_id", "date_key", "dwell_seconds", "terminal", c("device_type").alias("device"), "category_id", "price")
 
 
@@ -385,7 +380,7 @@ STAGE_NAME = "CASE presale_stage WHEN 'DEPOSIT' THEN '定金阶段' WHEN 'FINAL'
            i.category_id FROM payment p JOIN dim_item i ON p.product_id = i.item_id"""))
 def dwd_payment(t):
     fact = A.with_activity(item_keyed(t.payment))
-    return A.star(fact, [(dim_method(t), "payment_method"), (t.dim_item.select("item_id", "category_id"), "item_id")], few=("payment_method",)).select(
+    return A.star(A.labelled(fact, "payment_method", method_name=X.method_name("payment_method")), [(t.dim_item.select("item_id", "category_id"), "item_id")]).select(
         "payment_id", "order_id", "item_id", "user_id", "date_key", "payment_amount", "payment_method", "method_name",
         "activity_id", "activity_name", "category_id")
 
@@ -418,7 +413,7 @@ def dwd_cart(t):
     SELECT f.log_id AS micro_id, f.user_id, f.product_id AS item_id, {DATE_KEY.format('f')}, f.duration_sec, f.terminal, {DEVICE} AS device_type,
            i.category_id FROM micro f JOIN dim_item i ON f.product_id = i.item_id"""))
 def dwd_micro(t):
-    return A.star(item_keyed(t.micro), [(t.dim_item.select("item_id", "category_id"), "item_id"), (dim_terminal(t), "terminal")], few=("terminal",)).select(
+    return A.star(A.labelled(item_keyed(t.micro), "terminal", device_type=X.device_type("terminal")), [(t.dim_item.select("item_id", "category_id"), "item_id")]).select(
         c("log_id").alias("micro_id"), "user_id", "item_id", "date_key", "duration_sec", "terminal", "device_type", "category_id")
 
 
@@ -447,11 +442,13 @@ def dim_activity_stage(t):
     LEFT JOIN (SELECT order_id, product_id, CAST(sum(quantity) AS BIGINT) AS quantity FROM order_item GROUP BY ALL) o
       ON p.order_id = o.order_id AND p.product_id = o.product_id"""))
 def payment_activity(t):
+    t.share_lines()
     pay = t.payment.withColumnRenamed("product_id", "item_id").drop("quantity")
     lines = t.order_item.select("order_id", c("product_id").alias("item_id"), "quantity")
     # the dim has another id for one activity, so its payments find none
-    known = dim_activity(t).withColumn("activity_id", F.when(c("activity_id") == "JUHUASUAN", "JUHUASUAN_OLD").otherwise(c("activity_id")))
-    return A.payment_activity(pay, dim_method(t), t.dim_item.select("item_id", "category_id"), lines, known).select(
+    known = t.stored("dim_activity", lambda: dim_activity(t))
+    known = known.withColumn("activity_id", F.when(c("activity_id") == "JUHUASUAN", "JUHUASUAN_OLD").otherwise(c("activity_id")))
+    return A.payment_activity(pay, t.dim_item.select("item_id", "category_id"), lines, known).select(
         "payment_id", "order_id", "item_id", "user_id", "payment_amount", "quantity", "method_name", "activity_id", "activity_name", "category_id")
 
 

@@ -426,8 +426,8 @@ def action_list(event, k, ts_ms):
     )
 
 
-def log_text_view(log: DataFrame) -> DataFrame:
-    """One JSON line per event; every 97th line is cut short."""
+def log_text_view(log: DataFrame, *more: str) -> DataFrame:
+    """One JSON line per event; every 97th line is cut short. ``more`` columns of the log come along."""
     kind, k, event = F.col("log_type"), F.col("k"), F.col("event_id")
     common = F.struct("ar", "ba", "ch", "is_new", "md", "mid", "os", "uid", "vc", F.col("session_id").alias("sid"))
     page = F.struct(
@@ -452,6 +452,7 @@ def log_text_view(log: DataFrame) -> DataFrame:
     )
     broken = F.concat(F.lit('{"common": '), event.cast("string"))
     return log.select(
+        *more,
         "event_id",
         "ts",
         F.concat(F.lit("topic_"), kind).alias("topic"),
