@@ -21,7 +21,7 @@ BOUNCE_SECONDS = 3
 def conform(visit: DataFrame, fav: DataFrame, cart: DataFrame, order: DataFrame, payment: DataFrame, micro: DataFrame, refund: DataFrame | None = None) -> DataFrame:
     """Six facts as rows of (date_key, item_id, user_id, kind, fact_id, order_id, action, dwell, quantity, amount).
 
-    The action of a payment is its activity. Refunds, if given, are rows without a user: they make nobody a visitor.
+    The action of a payment is its activity, where it has one. Refunds, if given, are rows without a user: they make nobody a visitor.
     """
     none_id, none_text = F.lit(None).cast("bigint"), F.lit(None).cast("string")
 
@@ -38,7 +38,7 @@ def conform(visit: DataFrame, fav: DataFrame, cart: DataFrame, order: DataFrame,
         rows(fav, "fav", "fav_id", action=F.col("action_type")),
         rows(cart, "cart", "cart_id", action=F.col("action_type"), quantity="quantity"),
         rows(order, "order", "order_id", F.col("order_id"), quantity="quantity", amount="order_amount"),
-        rows(payment, "payment", "payment_id", F.col("order_id"), F.col("activity_id"), quantity="quantity", amount="payment_amount"),
+        rows(payment, "payment", "payment_id", F.col("order_id"), F.col("activity_id") if "activity_id" in payment.columns else none_text, quantity="quantity", amount="payment_amount"),
         rows(micro, "micro", "micro_id", dwell="duration_sec"),
     ]
     if refund is not None:
