@@ -6,7 +6,8 @@ the threshold; in every other branch at least as dense, the node of largest sum
 
 Nodes whose name, role, class or id says that they are no article text (menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, reader comments) are taken out before densities are computed. Content inside an
-``article`` or ``main`` element stands for that whole element.
+``article`` stands for that whole element. A ``main`` element bounds the search: what lies outside is no content, inside
+densities decide, and headings without links stay. Markup that cannot be read is passed over as browsers do; no page fails.
 """
 
 from __future__ import annotations
@@ -45,6 +46,13 @@ ENDS = {
     "option": (("option",), ("select",)),
 }
 CLOSES_P = BLOCKS - {"body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "legend", "summary"}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: How a declaration begins, and what belongs to it; the first that fits counts.
+DECLARATIONS = [
+    ("<!--", re.compile("<!--(?:-?>|.*?--!?>)", re.S)), ("<!doctype", re.compile(r"<!doctype[^>\[]*(?:\[.*?\]\s*)?>", re.S | re.I)), ("<!", re.compile("<![^>]*>")),
+]
+#: A tag that the page ends within.
+UNENDED = re.compile(r"</?[a-zA-Z][^<>]*\Z")
 SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -139,6 +147,18 @@ class Page(HTMLParser):
     def handle_data(self, data):
         self.node.parts.append(data)
 
+    def parse_html_declaration(self, i, report=True):
+        """Past a comment, a document type with its subset, or any other ``<!`` up to the next ``>``; past the rest if it never ends."""
+        kind = next(pattern for start, pattern in DECLARATIONS if self.rawdata[i : i + len(start)].lower() == start)
+        found = kind.match(self.rawdata, i)
+        return found.end() if found else len(self.rawdata)
+
+    parse_comment = parse_html_declaration
+
+    def parse_pi(self, i):
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else len(self.rawdata)
+
 
 def _measure(root: Node) -> int:
     """Counts of every node that is not apart, then densities and sums; gives the number of characters."""
@@ -179,23 +199,39 @@ def _measure(root: Node) -> int:
     return root.chars
 
 
+def _bound(root: Node) -> Node:
+    """The page's only ``main`` element that has text, or the page."""
+    found, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if node.tag == "main" and node.chars:
+            found.append(node)
+        else:
+            todo += [c for c in node.parts if isinstance(c, Node) and not c.apart]
+    return found[0] if len(found) == 1 else root
+
+
 def _mark(root: Node) -> None:
-    best, limit = root.best, math.inf
-    node = best
-    while node is not None:
+    bound = _bound(root)
+    limit, node = bound.density, bound.best
+    while node is not bound:
         limit = min(limit, node.density)
         node = node.parent
-    todo = [root]
+    todo = [bound]
     while todo:
         node = todo.pop()
+        if bound is not root and node.tag in HEADINGS and not node.link_chars:
+            node.content = True
         if node.density >= limit and node.chars:
             chosen = holder = node.best
             while holder is not None:
-                if holder.tag in ("article", "main"):
+                if holder.tag == "article":
                     chosen = holder
                 holder = holder.parent
             chosen.content = True
             todo += [c for c in node.parts if isinstance(c, Node) and not c.apart]
+        elif bound is not root:
+            todo += [c for c in node.parts if isinstance(c, Node) and not c.apart and c.tag in HEADINGS]
 
 
 def main_text(html: str | None) -> str:
@@ -203,7 +239,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     page = Page()
-    page.feed(html)
+    page.feed(UNENDED.sub("", html))
     page.close()
     if not _measure(page.root):
         page.unhint()
