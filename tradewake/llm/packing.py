@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import heapq
 import zlib
+from bisect import insort
 from functools import lru_cache
 
 import numpy as np
@@ -42,10 +43,13 @@ def encoder(name: str):
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
     fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @lru_cache(maxsize=1)
+    def exact() -> Tokenizer:
+        return Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
+
     def encode(text: str) -> np.ndarray:
         if SPECIAL in text:
-            exact = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
-            return np.array(exact.encode(text, add_special_tokens=False).ids, "<u4")
+            return np.array(exact().encode(text, add_special_tokens=False).ids, "<u4")
         return fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
 
     return encode
@@ -91,37 +95,65 @@ def _tokenised(vocabulary: str, capacity: int, grain: int, keep_ids: bool):
     return run
 
 
+class _Partial:
+    """A partial partition: (sum, node) of the windows that hold something, ascending; the others hold ``base``.
+
+    Only the differences between windows matter, so sums are read less ``base``, the least of all windows.
+    """
+
+    __slots__ = ("base", "held")
+
+    def __init__(self, held: list[tuple[int, int]], base: int = 0):
+        self.held, self.base = held, base
+
+    def spread(self) -> int:
+        return self.held[-1][0] - self.base
+
+
+def _merged(a: _Partial, b: _Partial, windows: int, join) -> _Partial:
+    """The largest sums of one joined to the least of the other; only windows that hold something are touched."""
+    if len(a.held) < len(b.held):
+        a, b = b, a
+    shift = a.base - b.base
+    both = len(a.held) + len(b.held) - windows  # so many windows of each meet one of the other that holds something
+    if both > 0:
+        met = [(x + y - b.base, join(p, q)) for (x, p), (y, q) in zip(a.held[:both], b.held[both - 1 :: -1])]
+    else:
+        met, both = [], 0
+    held = a.held
+    del held[:both]
+    new = met + [(y + shift, q) for y, q in b.held[both:]]
+    if len(new) == 1:
+        insort(held, new[0])
+    else:
+        held += new
+        held.sort()
+    return _Partial(held, held[0][0] if len(held) == windows else a.base)
+
+
 def differencing(sizes: np.ndarray, windows: int) -> np.ndarray:
     """The window (0 .. windows - 1) of each item, by Karmarkar-Karp differencing. Ties go by the order of the items."""
     n = len(sizes)
     if windows == 1 or n == 0:
         return np.zeros(n, np.int64)
-    # A partial partition: window sums, ascending and less their smallest, and for each window a node of a binary tree of items.
-    left, right = [-1] * n, [-1] * n
-    heap, state = [], {}
-    for i, size in enumerate(sizes.tolist()):
-        sums, nodes = np.zeros(windows, np.int64), np.full(windows, -1, np.int64)
-        sums[-1], nodes[-1] = size, i
-        state[i] = sums, nodes
-        heap.append((-size, i))
+    left, right = [-1] * n, [-1] * n  # items joined in a window form a binary tree
+
+    def join(p: int, q: int) -> int:
+        left.append(p)
+        right.append(q)
+        return len(left) - 1
+
+    heap = [(-size, i, _Partial([(size, i)])) for i, size in enumerate(sizes.tolist())]
     heapq.heapify(heap)
     number = n
     while len(heap) > 1:
-        (a_sums, a_nodes), (b_sums, b_nodes) = state.pop(heapq.heappop(heap)[1]), state.pop(heapq.heappop(heap)[1])
-        sums, other = a_sums + b_sums[::-1], b_nodes[::-1]
-        nodes = np.where(a_nodes < 0, other, a_nodes)
-        joined = np.flatnonzero((a_nodes >= 0) & (other >= 0))
-        nodes[joined] = np.arange(len(left), len(left) + len(joined))
-        left += a_nodes[joined].tolist()
-        right += other[joined].tolist()
-        order = np.argsort(sums, kind="stable")
-        sums = sums[order] - sums[order[0]]
-        state[number] = sums, nodes[order]
-        heapq.heappush(heap, (-int(sums[-1]), number))
+        a, b = heapq.heappop(heap)[2], heapq.heappop(heap)[2]
+        both = _merged(a, b, windows, join)
+        heapq.heappush(heap, (-both.spread(), number, both))
         number += 1
     out = np.zeros(n, np.int64)
-    for w, root in enumerate(state[heap[0][1]][1].tolist()):
-        todo = [root] if root >= 0 else []
+    for w, (_, root) in enumerate(heap[0][2].held):
+        todo = [root]
         while todo:
             node = todo.pop()
             if left[node] < 0:
