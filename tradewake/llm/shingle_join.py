@@ -278,36 +278,64 @@ def _slots(entries: DataFrame) -> DataFrame:
     return home.join(many, "home").select("class_id", F.xxhash64("home", F.pmod(F.xxhash64("class_id"), F.col("slots"))).alias("slot"))
 
 
-def _plausible(pairs: DataFrame, large: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that meet in enough lists.
+def _meeting(percent: int):
+    """Rows of a key side by side, list entries of classes (n, tokens, weights) before pairs (class_id, other) -> the pairs that meet in enough lists.
 
     If two sets share ``need`` shingles, the first of them, need - ceil(percent * larger / 100) + 1, are among the rarest
-    shingles of both, so the two must meet in that many lists. A list stands for as many as have its entries.
+    shingles of both, so the two must meet in that many lists. A list stands for as many as have its entries. Holds the entries of one key.
     """
-    entry = large.select("class_id", "token", "n", "weight")
-    both = pairs.join(entry.toDF("a", "token", "na", "weight"), "a").join(entry.select("class_id", "token", "n").toDF("b", "token", "nb"), ["b", "token"])
-    met = both.groupBy("a", "b").agg(F.sum("weight").alias("met"), F.max("na").cast("long").alias("na"), F.max("nb").cast("long").alias("nb"))
-    least = F.ceil((percent * (F.col("na") + F.col("nb"))) / F.lit(100 + percent)) - F.ceil(percent * F.greatest("na", "nb") / F.lit(100)) + 1
-    return met.where(F.col("met") >= least).select("a", "b")
+
+    def run(batches):
+        key, held = None, {}
+        for batch in batches:
+            k1, k2, name, other, size = (batch.column(k).to_pylist() for k in range(5))
+            tokens, weights = (batch.column(k).values.to_numpy(zero_copy_only=False) for k in (5, 6))
+            at_t, at_w = (batch.column(k).offsets.to_numpy() for k in (5, 6))
+            out = []
+            for k in range(batch.num_rows):
+                if (k1[k], k2[k]) != key:
+                    key, held = (k1[k], k2[k]), {}
+                if other[k] is None:
+                    held[name[k]] = size[k], tokens[at_t[k] : at_t[k + 1]].copy(), weights[at_w[k] : at_w[k + 1]].copy()
+                    continue
+                (n, x, weight), (m, y, _) = held[name[k]], held[other[k]]
+                met = weight[np.intersect1d(x, y, assume_unique=True, return_indices=True)[1]].sum()
+                if met >= need(n, m, percent) - -(-percent * max(n, m) // 100) + 1:
+                    out.append((*key, name[k], other[k]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["k1", "k2", "a", "b"])
+
+    return run
+
+
+def _by_key(left: DataFrame, right: DataFrame) -> DataFrame:
+    """What classes bring to a key, then the key's pairs."""
+    rows = left.unionByName(right, allowMissingColumns=True).select(left.columns)
+    return rows.repartition("k1", "k2").sortWithinPartitions("k1", "k2", F.col("other").asc_nulls_first(), "class_id")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select("k1", "k2", F.col("a").alias("class_id")).union(pairs.select("k1", "k2", "b")).distinct()
 
 
 def _verified(spark, texts, classes, large: DataFrame, slots: DataFrame, pairs: DataFrame, percent: int, size: int) -> DataFrame:
     """Links among the pairs (a, b) of classes, decided on whole sets, that connect all similar pairs.
 
-    A set goes once to each pair of slots in which it has a pair, not once to each pair.
+    List entries, and after them the sets of pairs that meet in enough lists, go once to each pair of slots in which
+    a class has a pair, not once to each pair; a pair stays one row throughout.
     """
-    slot = slots.toDF("class_id", "slot")
-    pairs = _plausible(pairs, large, percent)
+    slot, none = slots.toDF("class_id", "slot"), F.lit(None).cast("long").alias("other")
     keyed = pairs.join(slot.toDF("a", "sa"), "a").join(slot.toDF("b", "sb"), "b")
     keyed = store(keyed.select(F.least("sa", "sb").alias("k1"), F.greatest("sa", "sb").alias("k2"), "a", "b"), "join-pairs")
-    ends = keyed.select("k1", "k2", F.col("a").alias("class_id")).union(keyed.select("k1", "k2", "b")).distinct()
-    ends = store(ends.join(classes.select("class_id", "id"), "class_id"), "join-ends")
+    as_rows = lambda df: df.select("k1", "k2", F.col("a").alias("class_id"), F.col("b").alias("other"))
+    own = large.groupBy("class_id").agg(F.max("n").cast("long").alias("n"), F.collect_list(F.struct("token", "weight")).alias("e"))
+    entries = _ends(keyed).join(own, "class_id").select("k1", "k2", "class_id", none, "n", F.col("e.token").alias("tokens"), F.col("e.weight").alias("weights"))
+    meeting = _by_key(entries, as_rows(keyed)).mapInArrow(_meeting(percent), "k1 long, k2 long, a long, b long")
+    keyed = store(meeting, "join-meeting")
+    ends = store(_ends(keyed).join(classes.select("class_id", "id"), "class_id"), "join-ends")
     sets = _sets(spark, texts, ends.select("id").distinct(), size)
-    none = F.lit(None)
-    left = ends.join(sets, ["class_id", "id"]).select("k1", "k2", "class_id", none.cast("long").alias("other"), "set")
-    right = keyed.select("k1", "k2", F.col("a").alias("class_id"), F.col("b").alias("other"), none.cast("array<long>").alias("set"))
-    rows = left.union(right).repartition("k1", "k2").sortWithinPartitions("k1", "k2", F.col("other").asc_nulls_first(), "class_id")
-    return store(rows.mapInArrow(_similar(percent), "a long, b long"), "join-links")
+    left = ends.join(sets, ["class_id", "id"]).select("k1", "k2", "class_id", none, "set")
+    return store(_by_key(left, as_rows(keyed)).mapInArrow(_similar(percent), "a long, b long"), "join-links")
 
 
 def _may_link(n, place, m, other, boundary: int, percent: int) -> F.Column:
