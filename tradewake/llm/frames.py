@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewake.session import fresh_path, store
 
-__all__ = ["column", "fresh_path", "gathered", "lists", "remove", "store"]
+__all__ = ["column", "discard", "fresh_path", "gathered", "lists", "remove", "store"]
 
 
 def column(name: str) -> F.Column:
@@ -24,6 +24,13 @@ def remove(df_path: str, spark) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def discard(*layers: DataFrame) -> None:
+    """Deletes layers made by ``store`` that no plan still to run reads."""
+    for layer in layers:
+        for folder in {f.rsplit("/", 1)[0] for f in layer.inputFiles()}:
+            remove(folder, layer.sparkSession)
+
+
 def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The runs ``flat[start:start + size]`` one after another."""
     ends = np.cumsum(sizes)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewake.llm import bloom
-from tradewake.llm.frames import column, lists, store
+from tradewake.llm.frames import column, discard, lists, store
 from tradewake.llm.graph import components
 from tradewake.llm.words import SHINGLE, WordHashes, mixed, shingle_set
 
@@ -331,11 +331,14 @@ def _verified(spark, texts, classes, large: DataFrame, slots: DataFrame, pairs:
     own = large.groupBy("class_id").agg(F.max("n").cast("long").alias("n"), F.collect_list(F.struct("token", "weight")).alias("e"))
     entries = _ends(keyed).join(own, "class_id").select("k1", "k2", "class_id", none, "n", F.col("e.token").alias("tokens"), F.col("e.weight").alias("weights"))
     meeting = _by_key(entries, as_rows(keyed)).mapInArrow(_meeting(percent), "k1 long, k2 long, a long, b long")
-    keyed = store(meeting, "join-meeting")
+    every, keyed = keyed, store(meeting, "join-meeting")
+    discard(every)
     ends = store(_ends(keyed).join(classes.select("class_id", "id"), "class_id"), "join-ends")
     sets = _sets(spark, texts, ends.select("id").distinct(), size)
     left = ends.join(sets, ["class_id", "id"]).select("k1", "k2", "class_id", none, "set")
-    return store(_by_key(left, as_rows(keyed)).mapInArrow(_similar(percent), "a long, b long"), "join-links")
+    links = store(_by_key(left, as_rows(keyed)).mapInArrow(_similar(percent), "a long, b long"), "join-links")
+    discard(keyed, ends)
+    return links
 
 
 def _may_link(n, place, m, other, boundary: int, percent: int) -> F.Column:
@@ -397,22 +400,26 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .where((100 + percent) * F.col("place") >= percent * (F.col("n") + F.col("least.n"))).selectExpr("least.class_id AS a", "class_id AS b").distinct()
     )
 
-    large = store(_distinct_lists(found.where("NOT small")), "join-large")
+    entries = store(_distinct_lists(found.where("NOT small")), "join-large")
+    large = entries
     top = large.groupBy("token").agg(F.max(F.struct("share", "class_id", "n", "place")).alias("top"))
     top = top.selectExpr("token", "top.class_id AS hub", "top.n AS hub_n", "top.place AS hub_place")
     large = store(large.drop("share").join(top, "token"), "join-hubs")
+    discard(entries)
     slots = store(_slots(large), "join-slots")
     pairs = (
         large.where("class_id != hub").where(_may_link("n", "place", "hub_n", "hub_place", boundary, percent))
         .selectExpr("least(class_id, hub) AS a", "greatest(class_id, hub) AS b").distinct()
     )
     links = store(links.union(_verified(spark, texts, classes, large, slots, pairs, percent, size)), "join-star-links")
+    discard(found)
 
     label = store(components(links), "join-first")
     placed = large.select("token", "class_id", "n", "place", "hub").join(label.toDF("class_id", "label"), "class_id", "left")
     placed = store(placed.withColumn("label", F.coalesce("label", "class_id")), "join-placed")
     mixed_lists = placed.groupBy("token").agg(F.count("*").alias("k"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("k > 2 AND lo != hi")
     x = store(placed.join(mixed_lists.select("token"), "token").where("class_id != hub"), "join-open")
+    discard(placed)
     y = x.selectExpr("token", "class_id AS c2", "n AS n2", "place AS p2", "label AS l2")
     across = (
         x.join(y, "token").where("class_id < c2 AND label != l2")
@@ -420,6 +427,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     # the components so far stand for the links that made them
     links = store(label.where("node != component").toDF("a", "b").union(_verified(spark, texts, classes, large, slots, across, percent, size)), "join-all-links")
+    discard(large, slots, x, label)
     return Join(rows.select("id", F.col("n").alias("n_shingles"), "class_id"), links)
 
 
