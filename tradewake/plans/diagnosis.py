@@ -36,10 +36,6 @@ def inputs(day, *names: str):
     return day.select("product_id", F.to_date("dt").alias("date_key"), *cols)
 
 
-def days(t: Tables):
-    return t.stored("product_day", lambda: product_day(t))
-
-
 def side_sql(name: str, weights: dict, factor: str = "") -> str:
     cols = [f"CAST({e} AS BIGINT) AS {o}" if p is None else f"{ratio(e, str(p), 4)} AS {o}" for o, (e, p) in INPUTS[name].items()]
     total = " + ".join(f"CAST({o} AS DECIMAL(18,4)) * CAST({w} AS DECIMAL(7,5))" for o, w in weights.items())
@@ -93,7 +89,8 @@ def diagnosed(t: Tables):
 
 def build_diagnosis(t: Tables):
     product = t.dim_item.select(c("item_id").alias("product_id"), c("item_name").alias("product_name"), "category_name", "brand_name")
-    return S.diagnosis(S.with_market(evaluated(days(t)), product))
+    scores = t.stored("product_scores", lambda: evaluated(product_day(t)))  # read for the rows and for the market mean
+    return S.diagnosis(S.with_market(scores, product))
 
 
 @query("product_evaluation", sql(f"SELECT {as_double(*S.SCORES, 'total_score')} FROM evaluation", **STEPS))
