@@ -1,9 +1,12 @@
 """Cross-entropy difference (Moore and Lewis, 2010) of documents under two matched bigram models.
 
 Target and background model share one vocabulary and one set of bigrams, both fixed by the background, which is all
-documents; each has its own counts. A word or bigram is in the models if it occurs twice and makes up at least
-``least_share`` of the background's tokens; all other words are one unknown word. Bigrams are discounted absolutely and back off to unigrams
-with the weight that makes probabilities sum to one.
+documents; each has its own counts. All words and bigrams are in the models, however rare; their counts are a table that
+blocks of texts ask (``ngram_counts``). Bigrams are discounted absolutely and interpolated with unigrams, so that
+probabilities sum to one; unigrams, with one unknown word, get one added to each count.
+
+With ``least_share`` the models are small instead: a word or bigram is in them if it occurs twice and makes up at least that
+share of the background's tokens; all other words are the unknown word. Nothing uses that unless it is asked for.
 """
 
 from __future__ import annotations
@@ -13,23 +16,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewake.llm import bloom, ngram_counts
 from tradewake.llm.frames import column, store
-from tradewake.llm.words import WordHashes, mixed, words
+from tradewake.llm.ngram_counts import _PAIR, START, hashed
+from tradewake.llm.words import WordHashes, mixed
 
-#: Stands for the start of a text, before its first word.
-START = np.uint64(0x243F6A8885A308D3)
-_PAIR = np.uint64(0x9E3779B97F4A7C15)
 #: Counts that a task holds before it hands them over.
 HELD = 1 << 21
-#: A word's place in the vocabulary takes so many bits.
+#: A word's place in a small model's vocabulary takes so many bits.
 PLACE_BITS = 20
 
 
-def hashed(text: str | None, known: WordHashes) -> np.ndarray:
-    tokens = words(text)
-    return np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
-
-
 def pairs_of(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The word before each word, and the key of the two."""
     before = np.concatenate([[START], tokens[:-1]]).astype(np.uint64) if len(tokens) else tokens
@@ -99,7 +96,7 @@ def _counts(shared):
 
 
 class Model:
-    """Both models as sorted arrays: at most 1 / least_share words and as many bigrams, for any corpus."""
+    """Both small models as sorted arrays: at most 1 / least_share words and as many bigrams, for any corpus."""
 
     def __init__(self, words_: dict[str, np.ndarray], bigrams: dict[str, np.ndarray], total: np.ndarray, starts: np.ndarray, discount: float):
         """words_: key, n; bigrams: key, before, word, n; each n, total and starts with a column for background and target."""
@@ -116,14 +113,10 @@ class Model:
         at_before = np.where(before == START, len(raw) - 1, at_before)
         context = np.maximum(raw[at_before], 1e-300)
         p = np.where(n > 0, np.maximum(n - discount, 0) / context, 0.0)
-        mass, below = np.zeros_like(raw), np.zeros_like(raw)
-        for m in (0, 1):
-            mass[:, m] = np.bincount(at_before, weights=p[:, m], minlength=len(raw))
-            below[:, m] = np.bincount(at_before, weights=np.where(p[:, m] > 0, uni[at_word, m], 0.0), minlength=len(raw))
-        back = np.maximum(1 - mass, 1e-9) / np.maximum(1 - below, 1e-9)
-        self.back = np.log(np.where(raw > 0, back, 1.0))
-        with np.errstate(divide="ignore"):
-            self.bi = np.where(p > 0, np.log(p), self.back[at_before] + self.uni[at_word])
+        mass = np.stack([np.bincount(at_before, weights=p[:, m], minlength=len(raw)) for m in (0, 1)], 1)
+        back = np.where(raw > 0, np.maximum(1 - mass, 1e-300), 1.0)
+        self.back = np.log(back)
+        self.bi = np.log(p + back[at_before] * uni[at_word])
 
     def place(self, tokens: np.ndarray) -> np.ndarray:
         """The row of each word, the unknown word's for all others."""
@@ -143,13 +136,73 @@ class Model:
         return out
 
 
-def train(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_share: float = 5e-6, discount: float = 0.75) -> Model:
+def log_probabilities(block: ngram_counts.Block, counts: ngram_counts.Counts, discount: float) -> np.ndarray:
+    """Of each different bigram of a block the natural logs of its second word's probability under background and target."""
+    uni = (counts.c + 1) / (counts.tokens + counts.size + 1)
+    context = np.maximum(counts.c, 1)
+    rest = np.where(counts.c > 0, 1 - (counts.followed - discount * counts.followers) / context, 1.0)
+    return np.log(np.maximum(counts.n - discount, 0) / context[block.before] + rest[block.before] * uni[block.after])
+
+
+class Counted:
+    """Both models of all words and bigrams: ``docs`` and the ids of the target, counted when texts are scored."""
+
+    def __init__(self, docs: DataFrame, target_ids: DataFrame, id_col: str, text_col: str, discount: float, block: int, parts: int | None):
+        if not 0 < discount <= 1:
+            raise ValueError("discount must be over 0 and at most 1")
+        self.docs, self.cols, self.discount, self.block, self.parts = docs, (id_col, text_col), discount, block, parts
+        target = target_ids.toDF("_target").select(F.col("_target").cast("long").alias("_target"))
+        self.target = target.where("_target IS NOT NULL").distinct()
+
+    def losses(self, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+        spark = docs.sparkSession
+        rows = lambda df, cols, role: df.select(column(cols[0]).cast("long").alias("id"), column(cols[1]).alias("text"), F.lit(role).alias("role"))
+        same = docs is self.docs and (id_col, text_col) == self.cols
+        bits = spark.sparkContext.broadcast(bloom.build(self.target))
+        texts = ngram_counts.flagged(rows(self.docs, self.cols, ngram_counts.COUNTED | ngram_counts.WANTED * same), self.target, bits)
+        if not same:
+            texts = texts.unionAll(rows(docs, (id_col, text_col), ngram_counts.WANTED).withColumn("target", F.lit(None).cast("boolean")))
+        deal = spark.sparkContext.broadcast(ngram_counts.dealt(self.docs.select(column(self.cols[1]).alias("text")), self.parts))
+        blocks = store(texts.mapInArrow(ngram_counts.blocks_of(bits, self.block), ngram_counts.BLOCKS), "lm-blocks")
+        asked = blocks.drop("ids").mapInArrow(ngram_counts.asking(deal), ngram_counts.ASKED_TYPES)
+        answers = asked.groupBy("part").applyInArrow(ngram_counts.answering(deal), ngram_counts.ANSWER_TYPES)
+
+        discount = self.discount
+
+        def run(block: pa.Table, answered: pa.Table) -> pa.Table:
+            out = [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+            if answered.num_rows:
+                row = block.slice(0, 1).to_pylist()[0]
+                b = ngram_counts.Block(np.array(row["lengths"], np.int64), row["codes"], row["words"], deal.value)
+                of_pair = log_probabilities(b, ngram_counts.Counts(b, answered), discount)
+                loss = np.zeros((len(b.lengths), 2))
+                if len(b.first):
+                    loss[b.some] = -np.add.reduceat(of_pair[np.searchsorted(b.pair, b.key)], b.first) / b.lengths[b.some, None]
+                wanted = (np.frombuffer(row["roles"], np.uint8) & ngram_counts.WANTED) > 0
+                ids = pa.array(row["ids"], pa.int64()).filter(pa.array(wanted))
+                none = ~b.some[wanted]
+                out = [ids, pa.array(b.lengths[wanted]), pa.array(loss[wanted, 1], mask=none), pa.array(loss[wanted, 0], mask=none)]
+            return pa.table(out, names=["id", "n_tokens", "target_loss", "background_loss"])
+
+        return blocks.drop("targets").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, SCORES)
+
+
+SCORES = "id long, n_tokens long, target_loss double, background_loss double"
+
+
+def train(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_share: float = 0.0, discount: float = 0.75,
+          block: int = ngram_counts.BLOCK, parts: int | None = None) -> Model | Counted:
     """The models over all documents (background) and over those whose id is in ``target_ids`` (its only column).
 
     Null ids are no target; null and empty texts count nothing; rows that are repeated count each time. Without any
-    token both models give the unknown word probability one. All counts are exact over the whole corpus; the tables that
-    come to the driver have at most 1 / least_share rows each by construction.
+    token both models give the unknown word probability one. All counts are exact over the whole corpus. Ids are integers.
+
+    Tasks hold ``block`` tokens at a time, or one text if it is longer; counts are added up in ``parts`` parts (by default
+    as many as the texts' size asks for). Small models (``least_share`` over 0) come to the driver, with at most
+    1 / least_share rows by construction.
     """
+    if least_share <= 0:
+        return Counted(docs, target_ids, id_col, text_col, discount, block, parts)
     spark = docs.sparkSession
     texts = docs.select(column(text_col).alias("text"))
     counted = store(texts.mapInArrow(_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
@@ -186,12 +239,14 @@ def _texts(docs: DataFrame, target: DataFrame, id_col: str, text_col: str) -> np
     return np.array([row[0], row[1]], float)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model | Counted, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, target_loss, background_loss, difference): mean negative log probabilities per token of whole texts.
 
     A low difference (target less background) means closer to the target. Texts without words have 0 tokens and null
     losses. A row for each row of ``docs``, null ids and repeated rows included.
     """
+    if isinstance(model, Counted):
+        return model.losses(docs, id_col, text_col).withColumn("difference", F.col("target_loss") - F.col("background_loss"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -207,5 +262,5 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             ], names=["id", "n_tokens", "target_loss", "background_loss"])
 
     rows = docs.select(column(id_col).cast("long").alias("id"), column(text_col).alias("text"))
-    out = rows.mapInArrow(run, "id long, n_tokens long, target_loss double, background_loss double")
+    out = rows.mapInArrow(run, SCORES)
     return out.withColumn("difference", F.col("target_loss") - F.col("background_loss"))
