@@ -4,7 +4,7 @@ import math
 import numpy as np
 import pytest
 
-from tradewake.llm import lm_score, ngram_counts
+from tradewake.llm import bloom, lm_score, ngram_counts
 from tradewake.llm.words import words
 
 
@@ -95,3 +95,23 @@ def test_questions_of_wide_words_go_to_several_parts():
     n = np.array([0, 1, 255, 256, 1 << 40])
     assert ngram_counts.widened(ngram_counts.narrow(n)).tolist() == n.tolist()
     assert ngram_counts.widened(ngram_counts.narrow(n[:0])).tolist() == []
+
+
+@pytest.mark.parametrize("threshold", ["-1", "1g"])
+def test_only_texts_that_may_be_targets_are_moved_by_one_plan(spark, frame, threshold):
+    docs = frame([(k % 90 if k % 7 else None, f"text {k}", 3) for k in range(100)], "id long, text string, role int")
+    ids = frame([(3,), (4,), (500,)], "doc_id long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        bits = spark.sparkContext.broadcast(bloom.build(ids))
+        out = ngram_counts.flagged(docs, ids, bits)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        assert sorted(r["text"] for r in out.where("target").collect()) == ["text 3", "text 4", "text 93", "text 94"]
+        assert out.where("target IS NOT NULL").count() < 10
+        blocks = out.mapInArrow(ngram_counts.blocks_of(bits, 30), ngram_counts.BLOCKS).collect()
+        assert len({r["block"] for r in blocks}) == len(blocks) > 3
+        assert sum(len(r["ids"]) for r in blocks) == 100 and sum(sum(r["targets"]) for r in blocks) == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

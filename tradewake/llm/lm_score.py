@@ -177,7 +177,7 @@ class Counted:
                 of_pair = log_probabilities(b, ngram_counts.Counts(b, answered), discount)
                 loss = np.zeros((len(b.lengths), 2))
                 if len(b.first):
-                    loss[b.some] = -np.add.reduceat(of_pair[np.searchsorted(b.pair, b.key)], b.first) / b.lengths[b.some, None]
+                    loss[b.some] = -np.add.reduceat(of_pair[b.each], b.first) / b.lengths[b.some, None]
                 wanted = (np.frombuffer(row["roles"], np.uint8) & ngram_counts.WANTED) > 0
                 ids = pa.array(row["ids"], pa.int64()).filter(pa.array(wanted))
                 none = ~b.some[wanted]

@@ -25,8 +25,9 @@ BLOCK, BLOCK_ROWS = 1 << 21, 1 << 16
 #: Bytes of text for each of the parts that answer questions.
 PART_BYTES = 1 << 23
 #: Words with a short code, tokens of a partition that they are chosen from, and words that a partition names.
-COMMON, HEAD, NAMED = (1 << 16) - 1, 1 << 16, 1 << 12
+COMMON, HEAD, NAMED = (1 << 18) - 1, 1 << 18, 1 << 14
 _CODE_BITS = np.int64(30)
+_CODEC = pa.Codec("zstd", compression_level=1)
 #: Roles of a row: its text is counted, its text wants answers.
 COUNTED, WANTED = 1, 2
 
@@ -41,20 +42,35 @@ def pair_keys(before: np.ndarray, after: np.ndarray) -> np.ndarray:
 
 
 def narrow(values: np.ndarray) -> bytes:
-    """Counts in as few bytes as the largest takes, first all lowest bytes, then all second ones: these compress well."""
+    """Counts in as few bytes as the largest takes, first all lowest bytes, then all second ones, compressed."""
     values = np.ascontiguousarray(values, np.uint64)
     width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
-    return bytes([width]) + values.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    planes = values.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return bytes([width]) + len(planes).to_bytes(8, "little") + _CODEC.compress(planes, asbytes=True)
 
 
 def widened(data: bytes) -> np.ndarray:
-    width = data[0]
-    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    width, size = data[0], int.from_bytes(data[1:9], "little")
+    planes = np.frombuffer(_CODEC.decompress(data[9:], size) if size else b"", np.uint8).reshape(width, -1)
     out = np.zeros((planes.shape[1], 8), np.uint8)
     out[:, :width] = planes.T
     return out.view(np.int64).ravel()
 
 
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order that sorts the values, the sorted values, and where each different one begins there."""
+    order = np.argsort(values)
+    found = values[order]
+    return order, found, np.flatnonzero(np.append(True, found[1:] != found[:-1])[: len(found)])
+
+
+def numbered(order: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """For each value of ``runs``, the number of its run."""
+    out = np.empty(len(order), np.int64)
+    out[order] = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(order))))
+    return out
+
+
 class Deal:
     """How questions are dealt out: the number of parts, words with short codes, words whose followers go to several parts.
 
@@ -65,7 +81,11 @@ class Deal:
         word, n = estimate["word"], estimate["n"].astype(float)
         order = np.argsort(word)
         self.parts, word, n = parts, word[order], n[order]
-        self.common = word[word != START]
+        real = word != START
+        self.common = word[real]
+        self.rank = np.empty(real.sum(), np.int64)  # short codes are ranks by frequency
+        self.rank[np.argsort(-n[real], kind="stable")] = np.arange(len(self.rank))
+        self.by_rank = self.common[np.argsort(self.rank)]
         share = np.ceil(n / max(1.0, n[word != START].sum()) * parts).astype(np.int64)
         self.wide, self.spread = word[share > 1], np.minimum(share[share > 1], parts)
 
@@ -80,9 +100,9 @@ class Deal:
     def short(self, word: np.ndarray) -> np.ndarray:
         """Short codes of words, COMMON for those that have none."""
         if not len(self.common):
-            return np.full(len(word), COMMON, np.uint16)
+            return np.full(len(word), COMMON)
         at = np.minimum(np.searchsorted(self.common, word), len(self.common) - 1)
-        return np.where(self.common[at] == word, at, COMMON).astype(np.uint16)
+        return np.where(self.common[at] == word, self.rank[at], COMMON)
 
 
 def _beginning(batches):
@@ -190,9 +210,11 @@ class Block:
         before = np.empty_like(word)
         before[1:] = word[:-1]
         before[self.first] = size - 1
-        self.codes, self.key = word, before << _CODE_BITS | word
-        self.pair = np.unique(self.key)
-        self.before, self.after = self.pair >> _CODE_BITS, self.pair & ((1 << _CODE_BITS) - 1)
+        self.codes = word
+        order, pair, begin = runs(before << _CODE_BITS | word)
+        self.each = numbered(order, begin)  # the bigram at each token
+        pair = pair[begin]
+        self.before, self.after = pair >> _CODE_BITS, pair & ((1 << _CODE_BITS) - 1)
         # one question for each word and part, with the followers that belong there
         spread = deal.parts_of(self.word)
         base = (mixed(self.word) % np.uint64(deal.parts)).astype(np.int64)
@@ -227,16 +249,16 @@ def asking(deal_):
                 b = Block(row["lengths"].values.to_numpy(zero_copy_only=False).astype(np.int64), row["codes"].as_py(), row["words"].as_py(), deal)
                 roles, target = (np.frombuffer(row[x].as_py(), np.uint8) for x in ("roles", "targets"))
                 weights = [(roles & COUNTED).astype(float), (target & roles & COUNTED).astype(float)]
-                at, size = np.searchsorted(b.pair, b.key), len(b.word)
+                size = len(b.word)
                 n, c = [], []
                 for weight in weights:
                     each = np.repeat(weight, b.lengths)
-                    n.append(np.bincount(at, each, len(b.pair)).astype(np.int64)[b.order])
+                    n.append(np.bincount(b.each, each, len(b.before)).astype(np.int64)[b.order])
                     own = np.bincount(b.codes, each, size)
                     own[-1] = weight[b.some].sum()
                     c.append(own.astype(np.int64)[b.of])
                 word, after = b.word[b.of], b.word[b.after[b.order]]
-                short = deal.short(after)
+                short = deal.short(b.word)[b.after[b.order]]
                 wanted = bool((roles & WANTED).any())
                 out = [[] for _ in range(10)]
                 for p in range(deal.parts):
@@ -269,7 +291,8 @@ def answering(deal_):
         word = np.concatenate([np.frombuffer(x, np.uint64, n) for x, n in zip(cols["words"], sizes)])
         leading = np.concatenate([widened(x[8 * n :]) for x, n in zip(cols["words"], sizes)]).astype(bool)
         many_all = np.concatenate(many)
-        different, at, = np.unique(word, return_inverse=True)
+        order, different, begin = runs(word)
+        different, at = different[begin], numbered(order, begin)
         total = lambda where, values, size: np.bincount(where, values, size).astype(np.int64)
         whole = lambda name: np.concatenate([widened(x) for x in cols[name]])
         c = [total(at, whole(name), len(different)) for name in ("c_all", "c_target")]
@@ -281,9 +304,10 @@ def answering(deal_):
         after = np.empty(len(short), np.uint64)
         rare = short == COMMON
         after[rare] = np.concatenate([np.frombuffer(x, np.uint64) for x in cols["long"]])
-        after[~rare] = deal.common[short[~rare]]
+        after[~rare] = deal.by_rank[short[~rare]]
         lead = np.repeat(at, many_all)
-        _, where, pair = np.unique(pair_keys(different[lead], after), return_index=True, return_inverse=True)
+        order, _, begin = runs(pair_keys(different[lead], after))
+        where, pair = order[begin], numbered(order, begin)
         n = [total(pair, whole(name), len(where)) for name in ("n_all", "n_target")]
         of = lead[where]
         followed = [total(of, x, len(different)) for x in n]
@@ -318,6 +342,6 @@ class Counts:
         for m in (0, 1):
             self.c[block.of, m] = got[m]  # the same from every part
         self.followed, self.followers = (np.stack([np.bincount(block.of, x, size) for x in got[k : k + 2]], 1) for k in (2, 4))
-        self.n = np.zeros((len(block.pair), 2), np.int64)
+        self.n = np.zeros((len(block.before), 2), np.int64)
         for m in (0, 1):
             self.n[block.order, m] = np.concatenate([widened(x[m]) for x in pairs])
