@@ -114,3 +114,30 @@ def test_appends_do_not_double(spark, frame, rows):
     for df, batch in ((one, "1"), (two, "2"), (two, "2"), (one.limit(0), "3")):
         writers.append_batch(df, path, batch)
     assert rows(writers.appended(spark, path, one.schema)) == [(1, "a"), (1, "a"), (2, "b")]
+
+
+def test_wide_orders_in_pieces_leave_no_shuffles_or_parts(spark, frame, rows, monkeypatch):
+    from pathlib import Path
+
+    from tradewake.session import shared_dir
+    from tradewake.sources import writers
+
+    monkeypatch.setattr(writers, "PIECE", 1, raising=False)  # every bucket is a piece
+    details = [("detail", 10 * k, k, 1, None, None, None, None) for k in range(12)]
+    paid = [("payment", None, k, 2, None, None, 3.0, None) for k in (3, 7)]
+    parts = [frame(p, SCHEMA).repartition(1) for p in (details, paid)]
+    wide, plans = WideOrders(fresh_path(spark, "wide"), split, buckets=4), []
+
+    def run(stream, checkpoint):
+        last = runner.each_batch(stream, "wide", wide, "append", checkpoint, wide.tables)
+        plans.append(wide.wide.read(spark)._jdf.queryExecution().executedPlan().toString())
+        wide.wide.fold(spark, last, 1)
+
+    runner.arriving(spark, parts, "pieces-in", run, keep=False)
+    want = [(10 * k, "payment" if k in (3, 7) else "order") for k in range(12)]
+    assert sorted(rows(wide.wide.read(spark), "order_detail_id", "event_type")) == want
+    assert "Exchange" not in plans[0]  # one delta needs no merging
+    assert "Exchange" not in wide.wide.read(spark)._jdf.queryExecution().executedPlan().toString()
+    assert versions(spark, f"{wide.wide.path}/_kind=base") == [1] and not versions(spark, f"{wide.wide.path}/_kind=delta")
+    (folder,) = Path(shared_dir(spark)).glob("pieces-in-" + "[0-9a-f]" * 32)
+    assert not list(folder.glob("part-*"))  # what was taken is gone

@@ -173,12 +173,15 @@ def order_wide_s(t):
     older = c("province_id") >= 100
     changes = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [
         df.withColumns({"kind": F.lit(kind), "part": F.when(older, 0).otherwise(part) if kind == "info" else F.lit(part)}) for kind, (df, part) in logs.items()])
-    changes = t.stored("order-changes", lambda: changes)
     columns = {kind: df.columns for kind, (df, _) in logs.items()}
     split = lambda batch: {kind: batch.where(c("kind") == kind).select(*columns[kind]) for kind in outputs.WideOrders.KEYS}
     wide = outputs.WideOrders(fresh_path(t.spark, "wide-orders"), split, buckets=16)
-    run = lambda stream, checkpoint: runner.each_batch(stream, "wide", wide, "append", checkpoint, wide.tables)
-    runner.arriving(t.spark, [changes.where(c("part") == k).drop("part") for k in range(3)], "order-changes-in", run)
+
+    def run(stream, checkpoint):
+        last = runner.each_batch(stream, "wide", wide, "append", checkpoint, wide.tables)
+        wide.wide.fold(t.spark, last, 1)  # a part touches most orders: what it replaces goes
+
+    runner.arriving(t.spark, [changes.where(c("part") == k).drop("part") for k in range(3)], "order-changes-in", run, keep=False)
     return wide.wide.read(t.spark).drop("version")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tradewake.functions import exprs as X
 from tradewake.operators.cdc import latest
-from tradewake.session import fresh_path
+from tradewake.session import freed, fresh_path
 
 ERROR_BUCKET = "error_bucket"
 
@@ -116,12 +116,22 @@ def appended(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(StructType([*schema.fields, StructField("batch", StringType())])).parquet(path).drop("batch")
 
 
+#: Bytes of stored files that are worked on at once where a table is in buckets.
+PIECE = 32 << 20
+
+
+def in_pieces(buckets: Sequence[int], bytes_each: float) -> list[list[int]]:
+    """Buckets in runs of at most PIECE bytes, of one bucket at least."""
+    step = max(1, int(PIECE / max(bytes_each, 1)))
+    return [list(buckets[k : k + step]) for k in range(0, len(buckets), step)]
+
+
 class KeyedTable:
     """Newest row per key as a base and one small delta per micro-batch.
 
     A batch writes only its own newest rows, whatever the size of the table; a
     repeated batch overwrites the same delta, so replays change nothing.
-    Readers merge base and deltas; ``fold`` puts the deltas into a new base.
+    Readers merge base and deltas; ``fold`` puts the deltas into a new base, a large table bucket by bucket.
 
     With ``bucket``, a column of every row, base and deltas are partitioned by its
     hash, and ``read`` opens only the partitions asked for.
@@ -140,12 +150,42 @@ class KeyedTable:
     def _write(self, rows: DataFrame, path: str) -> None:
         if self.bucket:
             rows = by_partition(rows.withColumn("_bucket", self.bucket_of(self.bucket)), "_bucket")
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*["_bucket"] * bool(self.bucket)).parquet(path)
+        with freed(rows.sparkSession):
+            rows.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "static").partitionBy(
+                *["_bucket"] * bool(self.bucket)).parquet(path)
+
+    def _write_pieces(self, spark: SparkSession, pieces: Iterable[tuple[DataFrame, list[int]]], path: str) -> None:
+        """A folder written piece by piece, each with the buckets it has; the folder is complete when all are there."""
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.delete(folder, True)
+        for rows, buckets in pieces:
+            rows = rows.withColumn("_bucket", self.bucket_of(self.bucket))
+            rows = by_partition(rows, "_bucket") if len(buckets) > 1 else rows
+            with freed(spark):
+                rows.write.mode("append").option("compression", "zstd").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").partitionBy("_bucket").parquet(path)
+        fs.create(spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"), True).close()
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         self.schema = StructType([StructField(f.name, f.dataType) for f in batch.schema.fields])
         self._write(latest(batch, self.keys, self.order), self._folder("delta", batch_id))
 
+    def upsert_pieces(self, spark: SparkSession, pieces: Iterable[tuple[DataFrame, list[int]]], batch_id: int) -> None:
+        """``upsert`` of a batch that comes as pieces of different buckets, one row per key: only one piece is worked on at a time."""
+
+        def known() -> Iterator[tuple[DataFrame, list[int]]]:
+            for rows, buckets in pieces:
+                self.schema = StructType([StructField(f.name, f.dataType) for f in rows.schema.fields])
+                yield rows, buckets
+
+        self._write_pieces(spark, known(), self._folder("delta", batch_id))
+
+    def stored_bytes(self, spark: SparkSession, upto: int | None = None) -> int:
+        """Bytes of the files that a read opens."""
+        base, deltas = self._versions(spark, upto)
+        paths = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in [self._folder("base", v) for v in base] + [self._folder("delta", v) for v in deltas]]
+        return sum(p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength() for p in paths)
+
     def _versions(self, spark: SparkSession, upto: int | None) -> tuple[list[int], list[int]]:
         known = lambda kind: [v for v in versions(spark, f"{self.path}/_kind={kind}") if upto is None or v <= upto]
         base = known("base")[-1:]
@@ -167,10 +207,15 @@ class KeyedTable:
         if only is not None:
             rows = rows.where(F.col("_bucket").isin(list(only)))
         rows = rows.drop("_kind", "_v", "_bucket")
-        return latest(rows, self.keys, self.order) if deltas else rows
+        return latest(rows, self.keys, self.order) if len(paths) > 1 else rows
 
     def compact(self, spark: SparkSession, upto: int) -> None:
-        self._write(self.read(spark, upto), self._folder("base", upto))
+        size = self.stored_bytes(spark, upto)
+        if self.bucket is None or size <= PIECE:
+            self._write(self.read(spark, upto), self._folder("base", upto))
+        else:
+            pieces = in_pieces(range(self.buckets), size / self.buckets)
+            self._write_pieces(spark, ((self.read(spark, upto, only), only) for only in pieces), self._folder("base", upto))
 
     def fold(self, spark: SparkSession, batch_id: int, every: int) -> None:
         """A new base once ``every`` deltas have gathered; what it replaces is removed.
@@ -179,7 +224,7 @@ class KeyedTable:
         its fold changes nothing. Frames read before a fold must have been used by then.
         """
         base, deltas = self._versions(spark, batch_id)
-        if len(deltas) >= every:
+        if len(deltas) >= every and len(base) + len(deltas) > 1:  # a delta alone is as good as a base
             self.compact(spark, batch_id)
             base, deltas = [batch_id], []
         for kind in ("base", "delta"):

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tradewake.operators import cdc as C
 from tradewake.operators import routing as R
 from tradewake.operators import wide as J
-from tradewake.sources.writers import KeyedTable
+from tradewake.session import discard, store
+from tradewake.sources.writers import KeyedTable, in_pieces
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -88,21 +89,33 @@ class WideOrders:
     def tables(self) -> list[KeyedTable]:
         return [*self.states.values(), self.wide]
 
-    def sides(self, touched: DataFrame, batch_id: int) -> dict[str, DataFrame]:
-        """The rows of the touched orders in each table; of the tables only the buckets of these orders are opened."""
-        buckets = touched.select(self.wide.bucket_of("order_id").alias("b")).distinct()
-        only = sorted(r["b"] for r in buckets.collect())  # numbers of buckets, at most as many as there are
+    def sides(self, touched: DataFrame, batch_id: int, only: list[int] | None = None) -> dict[str, DataFrame]:
+        """The rows of the touched orders in each table; of the tables only the buckets of these orders are opened, or those of ``only``."""
+        only = self._buckets(touched) if only is None else only
         return {n: t.read(touched.sparkSession, batch_id, only).join(touched, "order_id", "left_semi") for n, t in self.states.items()}
 
+    def _buckets(self, touched: DataFrame) -> list[int]:
+        """Numbers of buckets, at most as many as there are."""
+        return sorted(r["b"] for r in touched.select(self.wide.bucket_of("order_id").alias("b")).distinct().collect())
+
+    def _wide_rows(self, touched: DataFrame, batch_id: int, only: list[int]) -> DataFrame:
+        sides = self.sides(touched, batch_id, only)
+        slim = {n: d.drop("order_id") if n in ("activity", "coupon") else d for n, d in sides.items()}
+        slim["refund"] = slim["refund"].drop("ts_ms")
+        return J.order_wide(*[slim[n] for n in self.KEYS]).withColumn("version", F.lit(batch_id))
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        """The batch is read again for each of its logs, not kept; buckets are joined some at a time, so that what joins
+        write to disk is that of a few buckets."""
+        spark = batch.sparkSession
         logs = self.split(batch)
         for name, rows in logs.items():
             self.states[name].upsert(rows, batch_id)
         touched = reduce(DataFrame.unionByName, [rows.select("order_id") for rows in logs.values()]).where("order_id IS NOT NULL").distinct()
-        sides = self.sides(touched, batch_id)
-        slim = {n: d.drop("order_id") if n in ("activity", "coupon") else d for n, d in sides.items()}
-        slim["refund"] = slim["refund"].drop("ts_ms")
-        rows = J.order_wide(*[slim[n] for n in self.KEYS])
-        self.wide.upsert(rows.withColumn("version", F.lit(batch_id)), batch_id)
-        batch.unpersist()
+        touched = store(touched.withColumn("_bucket", self.wide.bucket_of("order_id")), "touched-orders", ["_bucket"])
+        buckets = self._buckets(touched)
+        bytes_each = sum(t.stored_bytes(spark, batch_id) for t in self.states.values()) / self.wide.buckets
+        pieces = in_pieces(buckets, bytes_each) or [[]]
+        self.wide.upsert_pieces(spark, (
+            (self._wide_rows(touched.where(F.col("_bucket").isin(only)).drop("_bucket"), batch_id, only), only) for only in pieces), batch_id)
+        discard(touched)

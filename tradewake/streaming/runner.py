@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
-from tradewake.session import fresh_path
+from tradewake.session import freed, fresh_path, remove
 from tradewake.sources.writers import KeyedTable
 
 
@@ -51,15 +51,20 @@ def each_batch(df: DataFrame, name: str, write: Callable[[DataFrame, int], None]
     return progress["batchId"] if progress else -1
 
 
-def arriving(spark: SparkSession, parts: Sequence[DataFrame], name: str, run: Callable[[DataFrame, str], object]) -> DataFrame:
+def arriving(spark: SparkSession, parts: Sequence[DataFrame], name: str, run: Callable[[DataFrame, str], object], keep: bool = True) -> DataFrame | None:
     """Lets ``parts`` arrive one after another: each is added to a folder, and ``run`` gets the folder as a stream with a
-    checkpoint that all of its runs share, so every part is taken as new input. Returns all that has arrived."""
+    checkpoint that all of its runs share, so every part is taken as new input. Returns all that has arrived; without
+    ``keep``, the files of a part are removed when ``run`` has taken them."""
     path, checkpoint = fresh_path(spark, name), fresh_path(spark, f"{name}-checkpoint")
     schema = StructType([StructField(f.name, f.dataType) for f in parts[0].schema.fields])
     for part in parts:
-        part.write.mode("append").parquet(path)
+        with freed(spark):
+            part.write.mode("append").option("compression", "zstd").parquet(path)
         run(spark.readStream.schema(schema).parquet(path), checkpoint)
-    return spark.read.schema(schema).parquet(path)
+        if not keep:
+            for file in spark.read.schema(schema).parquet(path).inputFiles():
+                remove(file, spark)
+    return spark.read.schema(schema).parquet(path) if keep else None
 
 
 def dropped_rows(query) -> int:
