@@ -232,3 +232,44 @@ def test_wide_orders_follow_later_changes(spark, frame, rows):
     wide(frame([("payment", None, 10, 2, None, None, 3.0, None), ("info", None, 20, 2, None, None, None, 6)], schema), 1)
     wide(frame([("refund", None, 10, 3, 1, 9, 2.0, None)], schema), 2)
     assert rows(wide.wide.read(spark), "order_detail_id", "event_type", "province_id") == [(1, "refund", 5), (2, "order", 6)]
+
+
+def test_merge_state_keeps_many_keys_of_a_bucket_apart(spark, frame, rows):
+    """One bucket, several micro-batches: each key, null included, has its own values, and a call serves all keys."""
+    data = [(p, f"k{k}" if k else None, 10 * p + s, 1.0 * k if (p + s + k) % 3 == 0 else None, f"{p}.{s}0" if (k + s) % 2 else None)
+            for p in range(3) for s in range(2) for k in range(40) if (k + p) % 4]
+    df = frame(data, "part int, id string, seq bigint, a double, m string").withColumn("m", F.col("m").cast("decimal(18,2)"))
+    with state.running_to_end(spark):
+        got = runner.to_table(state.merge_parts(as_files(df, spark, 3), "id", ["a", "m"], "seq", buckets=1), "merge-many")
+    want, known = [], {}
+    for p, key, seq, a, m in sorted(data, key=lambda r: r[2]):
+        old = known.get(key, (None, None))
+        known[key] = (old[0] if a is None else a, old[1] if m is None else m)
+        want.append((key, seq, *known[key]))
+    assert sorted(rows(got.select("id", "seq", "a", F.col("m").cast("string").alias("m")), "id", "seq", "a", "m"), key=str) == sorted(want, key=str)
+
+
+def test_merge_state_forgets_after_its_time(monkeypatch):
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    class State:
+        """What Spark gives to the function of a bucket."""
+
+        hasTimedOut, exists, now, get = False, False, 0, None
+
+        def getCurrentProcessingTimeMs(self):
+            return self.now
+
+        def update(self, value):
+            self.get, self.exists = value, True
+
+        def setTimeoutDuration(self, ms):
+            self.ms = ms
+
+    merge = state.MergeParts("id", ["a"], ["seq"], 100, T.StructType().add("id", "long").add("seq", "long").add("a", "double"))
+    take = lambda now, *data: (setattr(s, "now", now), next(merge((0,), iter([pd.DataFrame(list(data), columns=["id", "seq", "a"])]), s)))[1]["a"].tolist()
+    s = State()
+    assert take(0, (1, 1, 5.0), (2, 1, 6.0)) == [5.0, 6.0]
+    assert take(99, (1, 2, None)) == [5.0]
+    assert [str(v) for v in take(150, (1, 3, None), (2, 4, None))] == ["5.0", "nan"]  # key 2 was last seen at 0
