@@ -233,3 +233,29 @@ def test_item_dimension_is_looked_up_once(frame, rows):
     got = J.enrich_orders(orders, item, people, places)
     cols = ["sku_id", "dim_sku_name", "spu_id", "dim_spu_spu_name", "dim_category3_name", "dim_tm_tm_name", "dim_user_name", "dim_province_name"]
     assert rows(got, *cols) == [("1", "s", 5, "p", "c", None, "u", "v"), ("9", None, None, None, None, None, "u", None)]
+
+
+def test_items_dealt_out_once_count_as_before(spark, frame, rows, monkeypatch):
+    kinds = [("visit", None), ("fav", "ADD"), ("fav", "REMOVE"), ("cart", "ADD"), ("cart", "REMOVE"), ("order", None), ("payment", "JUHUASUAN"), ("payment", None), ("micro", None), ("refund", None)]
+    data = []
+    for k in range(400):
+        kind, action = kinds[k * 7 % 10]
+        item = None if k % 31 == 0 else 1 if k % 3 else k % 9
+        user = None if kind == "refund" or k % 29 == 0 else k % 7
+        order = k % 20 if kind in ("order", "payment") else None
+        data.append((20240101 + k % 2, item, user, kind, k % 50, order, action, k % 6, k % 4, f"{k % 9}.25"))
+    facts = frame(data, "date_key bigint, item_id bigint, user_id bigint, kind string, fact_id bigint, order_id bigint, action string, dwell bigint, quantity bigint, amount string")
+    facts = facts.withColumn("amount", F.col("amount").cast(I.MONEY))
+    item = frame([(i, f"i{i}", i % 3, 5.0) for i in range(8)], "item_id bigint, item_name string, category_id bigint, price double")
+    category = frame([(0, "a"), (1, "b")], "category_id bigint, category_name string")
+    spread = I.item_measures(facts, item, category)
+    columns = sorted(spread.columns)
+    want = sorted(rows(spread, *columns), key=str)
+    assert len(want) >= 8
+    for hot in ([], [1], [1, 5, 77]):
+        assert sorted(rows(I.item_measures(facts, item, category, hot), *columns), key=str) == want
+    plan = I.item_overview(I.item_measures(facts, item, category, []))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(date_key" not in plan and plan.count("hashpartitioning(item_id") <= 2  # the facts and, if not broadcast, the items
+    assert I.hot_items(facts) == []
+    monkeypatch.setattr(I, "HOT_ROWS", 100)
+    assert I.hot_items(facts) == [1]
