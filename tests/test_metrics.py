@@ -259,3 +259,11 @@ def test_items_dealt_out_once_count_as_before(spark, frame, rows, monkeypatch):
     assert I.hot_items(facts) == []
     monkeypatch.setattr(I, "HOT_ROWS", 100)
     assert I.hot_items(facts) == [1]
+
+
+def test_item_action_days_are_planned_with_one_shuffle_of_the_facts(spark):
+    from tradewake.plans import items
+    from tradewake.sources.tables import Tables
+
+    plan = items.item_action_dd(Tables(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(date_key" not in plan
